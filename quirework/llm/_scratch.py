@@ -30,12 +30,23 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.top, self.paths = spark, f"{folder(spark)}/{name}-{uuid.uuid4().hex}", {}
 
-    def cut(self, df: DataFrame, name: str, *, by: str | None = None, **options) -> DataFrame:
+    def cut(self, df: DataFrame, name: str, **options) -> DataFrame:
         path = f"{self.top}/{name}"
-        writer = df.write.mode("errorifexists").option("compression", "zstd").options(**options)
-        (writer.partitionBy(by) if by else writer).parquet(path)
+        df.write.mode("errorifexists").option("compression", "zstd").options(**options).parquet(path)
         self.paths[name] = path
-        return self.spark.read.schema(df.schema).parquet(path) if not by else self.spark.read.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def part(self, df: DataFrame, name: str, by: str, schemas: dict[str, str], **options) -> dict[str, DataFrame]:
+        """One pass written in parts by the values of ``by``; a part without rows is an empty table."""
+        path, out = f"{self.top}/{name}", {}
+        df.write.mode("errorifexists").option("compression", "zstd").options(**options).partitionBy(by).parquet(path)
+        hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
+        for value, schema in schemas.items():
+            self.paths[f"{name}/{value}"] = own = f"{path}/{by}={value}"
+            there = self.spark._jvm.org.apache.hadoop.fs.Path(own)
+            exists = there.getFileSystem(hadoop).exists(there)
+            out[value] = self.spark.read.schema(schema).parquet(own) if exists else self.spark.createDataFrame([], schema)
+        return out
 
     def drop(self, *names: str) -> None:
         hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
