@@ -96,14 +96,20 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(forth), np.cumprod(back)
 
 
-def word_hashes(w: Words) -> np.ndarray:
-    """64-bit hash of each word: differences of a running polynomial, brought to a common exponent."""
+def running(w: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Running polynomial of the chunk's bytes, and what brings differences to a common exponent."""
     n = len(w.data)
-    if not len(w.begin):
-        return np.zeros(0, np.uint64)
     forth, back = _powers(1 << max(20, n.bit_length()))
     run = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE_VALUES[w.data] * forth[:n], out=run[1:])
+    return run, back
+
+
+def word_hashes(w: Words, run: tuple[np.ndarray, np.ndarray] | None = None) -> np.ndarray:
+    """64-bit hash of each word."""
+    if not len(w.begin):
+        return np.zeros(0, np.uint64)
+    run, back = run or running(w)
     return mixed((run[w.stop] - run[w.begin]) * back[w.begin])
 
 

@@ -1,20 +1,21 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
-Labels come per document, so tokens are labelled at a distance: words are taken greedily by how much more often
-toxic documents hold them than clean ones, counting only toxic documents that no word taken before explains (this
-keeps words that merely share documents with an offending one from being taken).  Those words in toxic documents
-are labelled 1, all else 0, and a two-state chain (word weights, one weight for all other words, transitions, start)
-is trained on windows around them and around other frequent words, by gradient steps on the conditional likelihood.
+Labels come per document, so tokens are labelled at a distance: features (words and their beginnings; a word counts
+by its most telling one) are taken that toxic documents hold much more often than clean ones, and that they hold in many surroundings (this leaves out words that copies of one toxic
+document share).  Those words in toxic documents are labelled 1, all else 0, and a two-state chain (word weights, one
+weight for all other words, transitions, start) is trained on windows around them in both kinds of documents and on
+windows elsewhere, by gradient steps on the conditional likelihood.
 
 Scoring runs forward-backward over the whole token sequence of every text.  Words without a weight of their own
 all act alike, so a stretch of g of them is one power of a 2x2 matrix and only weighted words are visited.  A
-document's score is 1 - prod(1 - m) over marginals m of at least ``floor``; words with a marginal of ``at`` or more
-are its offending spans (byte ranges in the UTF-8 text).
+document's evidence is -log prod(1 - m) over its marginals m, its score the logistic curve fitted to the evidence of
+the training rows; words with a marginal of ``at`` or more are its offending spans (byte ranges in the UTF-8 text).
 
-Fitting takes at most ``per_class`` labelled rows of each class, those with the smallest digests of id; scoring
-covers every row, each within one task.  Only the weights (at most ``features`` words) are broadcast.
+Fitting takes at most about ``training_rows`` labelled rows, those with the smallest digests of id; scoring covers
+every row, each within one task.  Only the weights (at most ``features`` words) are broadcast.
 
-Edge cases: null, empty and wordless texts score 0; without toxic or clean training rows everything scores 0;
+Edge cases: null, empty and wordless texts score as texts without evidence do; without toxic or clean training rows
+every score is next to 0;
 repeated rows get equal scores; null labels are left out; columns that clash with the result's names are replaced.
 """
 
@@ -29,38 +30,65 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quirework.llm import _text as tx
+from quirework.llm._scratch import Scratch
 
-PER_CLASS = 4000
+TRAINING_ROWS = 12000
 FEATURES = 400
-FLOOR, AT, CUT = 0.05, 0.5, 0.7
-RADIUS = 4
+MOST, AT, CUT = 5.0, 0.5, 0.7
+RADIUS = 3
+
+
+#: Byte lengths of word beginnings that are features beside the whole word (0).
+BEGINNINGS = (0, 3, 4, 5, 6, 7, 8)
+
+
+def feature_hashes(w: tx.Words) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each kind of feature: (indices of the words that have it, its hash)."""
+    run = tx.running(w)
+    for k in BEGINNINGS:
+        at = np.flatnonzero(w.stop - w.begin >= k)
+        own = w._replace(begin=w.begin[at], stop=w.begin[at] + k if k else w.stop[at])
+        yield at, tx.mixed(tx.word_hashes(own, run) ^ np.uint64(k * 0x9E3779B97F4A7C15 & (1 << 64) - 1))
+
+
+def symbols(w: tx.Words, keys: np.ndarray, held: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """For each word the smallest rank (from 1) among its features that are in ``keys``; 0 without any."""
+    out = np.full(len(w.begin), len(keys) + 1, np.int64)
+    for at, h in feature_hashes(w) if len(keys) else ():
+        some = np.flatnonzero(held[h >> np.uint64(48)])
+        place = np.minimum(np.searchsorted(keys, h[some]), len(keys) - 1)
+        same = keys[place] == h[some]
+        words = at[some[same]]
+        out[words] = np.minimum(out[words], rank[place[same]])
+    return np.where(out > len(keys), 0, out)
 
 
 @dataclass
 class Field:
-    """A trained chain.  Scores are logs; row and column 1 are toxic."""
+    """A trained chain.  Scores are logs; column 1 is toxic; symbol 0 stands for every word without features."""
 
-    words: dict[int, np.ndarray] = field(default_factory=dict)  # word hash -> scores of both states
-    other: np.ndarray = field(default_factory=lambda: np.zeros(2))
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))  # feature hashes, sorted
+    rank: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))  # the symbol of each
+    scores: np.ndarray = field(default_factory=lambda: np.zeros((1, 2)))
     start: np.ndarray = field(default_factory=lambda: np.zeros(2))
     move: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
+    slope: float = 1.0  # of a document's log odds over its evidence
+    level: float = -20.0
 
-    def compile(self) -> None:
-        self.keys = np.sort(np.array(list(self.words), np.uint64))
+    def __post_init__(self) -> None:
         self.held = np.zeros(1 << 16, bool)
         self.held[self.keys >> np.uint64(48)] = True
-        self.emit = np.exp(np.array([self.words[int(k)] for k in self.keys])) if len(self.keys) else np.zeros((0, 2))
-        step = np.exp(self.move) * np.exp(self.other)  # into an unweighted word
-        self.values, vectors = np.linalg.eig(step)
-        self.left, self.right = vectors, np.linalg.inv(vectors)
-        self.into, self.first, self.plain = np.exp(self.move), np.exp(self.start), np.exp(self.other)
+        self.emit = np.exp(self.scores)
+        self.plain, self.into, self.first = self.emit[0], np.exp(self.move), np.exp(self.start)
+        self.values, self.left = np.linalg.eig(self.into * self.plain)  # into a word without features
+        self.right = np.linalg.inv(self.left)
 
     def gap(self, n: int) -> np.ndarray:
         """The chain over n unweighted words, scaled to a largest eigenvalue of 1."""
         return ((self.left * (self.values / np.abs(self.values).max()) ** n) @ self.right).real
 
     def marginals(self, at: np.ndarray, which: np.ndarray, total: int) -> np.ndarray:
-        """P(toxic) of the weighted words at these places of a sequence of ``total`` words."""
+        """P(toxic) of the words with symbols ``which`` at these places of a sequence of ``total`` words."""
         k = len(at)
         forward, through = np.zeros((k, 2)), [None] * k
         for i in range(k):
@@ -82,51 +110,68 @@ class Field:
                 back = back / back.sum()
         return out
 
-    def score(self, at, which, total: int, floor: float = FLOOR) -> tuple[float, np.ndarray]:
+    def evidence(self, at: np.ndarray, which: np.ndarray, total: int) -> tuple[float, np.ndarray]:
+        """-log prod(1 - m), each word counting up to MOST, and the marginals."""
+        if not len(at):
+            return 0.0, np.zeros(0)
         m = self.marginals(at, which, total)
-        return float(1 - np.prod(1 - m[m >= floor])), m
-
-
-def offending(docs: list[tuple[set[int], int]], least: int, ratio: float = 8.0) -> list[int]:
-    """Words for which unexplained toxic documents stand out, greedily.  docs: (words, label)."""
-    toxic, clean = [w for w, y in docs if y], [w for w, y in docs if not y]
-    n_toxic, taken = len(toxic), []
-    in_clean: dict[int, int] = {}
-    for w in clean:
-        for x in w:
-            in_clean[x] = in_clean.get(x, 0) + 1
-    while toxic:
-        count: dict[int, int] = {}
-        for w in toxic:
-            for x in w:
-                count[x] = count.get(x, 0) + 1
-
-        def lift(x: int) -> float:
-            return (count[x] / n_toxic) / ((in_clean.get(x, 0) + 0.5) / (len(clean) + 1))
-
-        able = [x for x in count if count[x] >= least and lift(x) >= ratio]
-        if not able:
-            break
-        best = max(able, key=lambda x: (count[x] - 2 * in_clean.get(x, 0), -x))
-        taken.append(best)
-        toxic = [w for w in toxic if best not in w]
-    return taken
-
-
-def train(windows: np.ndarray, states: np.ndarray, n_words: int, steps: int = 150, rate: float = 0.5, decay: float = 1e-3) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return float(np.minimum(-np.log(np.maximum(1 - m, 1e-12)), MOST).sum()), m
+
+    def score(self, evidence: float) -> float:
+        return float(1 / (1 + np.exp(-(self.slope * evidence + self.level))))
+
+
+def calibrated(x: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float, float]:
+    """Slope and level of a logistic curve by Newton's method, with a little shrinkage."""
+    w, design = np.zeros(2), np.column_stack((x, np.ones(len(x))))
+    for _ in range(steps):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+        h = design.T @ (design * (p * (1 - p))[:, None]) + np.eye(2) * 1e-2
+        w += np.clip(np.linalg.solve(h, design.T @ (y - p) - 1e-2 * w), -2, 2)
+    return float(w[0]), float(w[1])
+
+
+def offending(docs: list[tuple[int, list[int], list[int]]], least: int, ratio: float = 5.0, variety: float = 0.5) -> list[int]:
+    """Words that stand out in toxic documents, in many surroundings.  docs: (label, words, hash of both neighbours).
+
+    Words that only copies of some toxic document share stand out as well, but always between the same neighbours.
+    """
+    n, held, around, times = [0, 0], [{}, {}], {}, {}
+    for label, words, sides in docs:
+        n[label] += 1
+        for w in set(words):
+            held[label][w] = held[label].get(w, 0) + 1
+        for w, side in zip(words, sides):
+            around.setdefault(w, set()).add(side)
+            times[w] = times.get(w, 0) + 1
+    out = []
+    for w, k in held[1].items():
+        lift = (k / n[1]) / ((held[0].get(w, 0) + 0.5) / (n[0] + 1))
+        if k >= least and lift >= ratio and len(around[w]) >= max(least, variety * times[w]):
+            out.append(w)
+    return sorted(out)
+
+
+def train(windows: np.ndarray, states: np.ndarray, n_words: int, steps: int = 120, rate: float = 0.5, decay: float = 1e-5) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Gradient ascent on the conditional log likelihood.  windows: word index (0: other, -1: none) of equal lengths."""
     b, length = windows.shape
+    if b:  # equal windows with equal states count together
+        both, times = np.unique(np.hstack((windows, states)), axis=0, return_counts=True)
+        windows, states = both[:, :length], both[:, length:]
+    else:
+        times = np.zeros(0, np.int64)
     there, word = windows >= 0, np.maximum(windows, 0)
     emit, start, move = np.zeros((n_words + 1, 2)), np.zeros(2), np.zeros((2, 2))
-    y = np.eye(2)[states] * there[..., None]
+    weight = times.astype(float)
+    y = np.eye(2)[states] * there[..., None] * weight[:, None, None]
     pair = there[:, 1:] & there[:, :-1]
-    seen_move = np.array([[(pair & (states[:, :-1] == i) & (states[:, 1:] == j)).sum() for j in range(2)] for i in range(2)], float)
+    seen_move = np.array([[((pair & (states[:, :-1] == i) & (states[:, 1:] == j)).sum(1) * weight).sum() for j in range(2)] for i in range(2)], float)
     seen_emit = np.zeros_like(emit)
     np.add.at(seen_emit, word[there], y[there])
     sums = [np.zeros_like(x) for x in (emit, start, move)]
     for _ in range(steps):
         e = np.where(there[..., None], emit[word], 0)
-        a, z = np.zeros((b, length, 2)), np.zeros((b, length, 2))
+        a, z = np.zeros((len(windows), length, 2)), np.zeros((len(windows), length, 2))
         a[:, 0] = start + e[:, 0]
         for t in range(1, length):
             on = there[:, t, None]
@@ -136,83 +181,104 @@ def train(windows: np.ndarray, states: np.ndarray, n_words: int, steps: int = 15
             n = z[:, t + 1] + e[:, t + 1]
             z[:, t] = np.where(on, np.logaddexp(move[:, 0] + n[:, 0, None], move[:, 1] + n[:, 1, None]), z[:, t + 1])
         total = np.logaddexp(a[:, -1, 0], a[:, -1, 1])
-        p = np.exp(a + z - total[:, None, None]) * there[..., None]
+        p = np.exp(a + z - total[:, None, None]) * there[..., None] * weight[:, None, None]
         want_emit = np.zeros_like(emit)
         np.add.at(want_emit, word[there], p[there])
-        two = np.exp(a[:, :-1, :, None] + move + (z[:, 1:] + e[:, 1:])[:, :, None, :] - total[:, None, None, None]) * pair[..., None, None]
+        two = np.exp(a[:, :-1, :, None] + move + (z[:, 1:] + e[:, 1:])[:, :, None, :] - total[:, None, None, None]) * (pair * weight[:, None])[..., None, None]
         grads = [(seen_emit - want_emit), (y[:, 0] - p[:, 0]).sum(0), seen_move - two.sum((0, 1))]
         for x, g, s in zip((emit, start, move), grads, sums):
-            g = g / b - decay * x
+            g = g / max(1, b) - decay * x
             s += g * g
             x += rate * g / np.sqrt(s + 1e-8)
     return emit, start, move
 
 
-def _tokens(text: str | None) -> list[int]:
-    data = np.frombuffer((text or "").encode(), np.uint8)
-    w = tx.words_of(data, np.array([0, len(data)]), 0, 1, tx.ALNUM)
-    return tx.word_hashes(w).tolist()
-
-
-def _document_words(batches) -> Iterator:
+def _document_features(batches) -> Iterator:
+    """(label, text) -> (label, feature, documents of this chunk that have it)."""
     import pyarrow as pa
 
-    sums: dict[tuple, int] = {}
     for batch in batches:
-        for label, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            for x in set(_tokens(text)):
-                sums[label, x] = sums.get((label, x), 0) + 1
-    yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in sums], pa.int32()), pa.array(np.array([k[1] for k in sums], np.uint64).view(np.int64)), pa.array(list(sums.values()), pa.int64())], ["label", "word", "n"])
+        labels = batch.column(0).to_numpy(zero_copy_only=False)
+        data, offsets = tx.flat(batch.column(1))
+        for first, last in tx.chunks(offsets, tx.CHUNK // 2):
+            w = tx.words_of(data, offsets, first, last, tx.ALNUM)
+            pairs = [(h, w.row[at]) for at, h in feature_hashes(w)]
+            h, row = np.concatenate([x[0] for x in pairs]), np.concatenate([x[1] for x in pairs])
+            order = np.argsort(row, kind="stable")
+            h, row, _ = tx.distinct_in_rows(h[order], row[order], last - first)
+            for label in (0, 1):
+                keys, n = np.unique(h[labels[first + row] == label], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), label, np.int32)), pa.array(keys.view(np.int64)), pa.array(n.astype(np.int64))], ["label", "feature", "n"])
+
+
+def _placing(keys: np.ndarray, rank: np.ndarray):
+    """(label, text) -> its length, and places, symbols and neighbours of the words with features."""
+
+    def place(batches) -> Iterator:
+        import pyarrow as pa
 
+        held = np.zeros(1 << 16, bool)
+        held[keys >> np.uint64(48)] = True
+        for batch in batches:
+            data, offsets = tx.flat(batch.column(1))
+            out = []
+            for first, last in tx.chunks(offsets):
+                w = tx.words_of(data, offsets, first, last, tx.ALNUM)
+                symbol, h = symbols(w, keys, held, rank), tx.word_hashes(w)
+                edged = np.concatenate(([0], h, [0])).astype(np.uint64)
+                ends = np.cumsum(w.count)
+                for r, (a, b) in enumerate(zip((ends - w.count).tolist(), ends.tolist())):
+                    at = np.flatnonzero(symbol[a:b])
+                    sides = tx.mixed(edged[a + at] * np.uint64(3) + edged[a + at + 2])
+                    out.append((b - a, at.tolist(), symbol[a + at].tolist(), sides.view(np.int64).tolist()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in out], pa.int64()), *[pa.array([x[i] for x in out], pa.list_(pa.int64())) for i in (1, 2, 3)]], ["label", "n", "at", "symbol", "sides"])
 
-def fit(labelled: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", per_class: int = PER_CLASS, features: int = FEATURES) -> Field:
+    return place
+
+
+def fit(labelled: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", training_rows: int = TRAINING_ROWS, features: int = FEATURES) -> Field:
     """Train on rows (doc_id, text, label 0/1)."""
     rows = labelled.select(F.col(doc_id).alias("i"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where("label in (0, 1) and text is not null")
     n = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    out = Field()
     if len(n) < 2:
-        out.compile()
-        return out
+        return Field()
+    share = min(1.0, training_rows / sum(n.values()))
+    held = {y: share * m for y, m in n.items()}
     place = F.conv(F.substring(F.md5(F.concat(F.lit("toxic:"), F.coalesce(F.col("i").cast("string"), F.lit(""))).cast("binary")), 1, 8), 16, 10).cast("double") / float(1 << 32)
-    rows = rows.where(place < F.when(F.col("label") == 1, min(1.0, per_class / n[1])).otherwise(min(1.0, per_class / n[0])))
-    sums = rows.select("label", "text").mapInArrow(_document_words, "label int, word long, n long").groupBy("word").agg(F.sum(F.expr("if(label = 1, n, 0)")).alias("bad"), F.sum(F.expr("if(label = 0, n, 0)")).alias("good"))
-    held = {y: min(per_class, m) for y, m in n.items()}
-    lift = (F.col("bad") + 0.5) / held[1] / ((F.col("good") + 0.5) / held[0])
-    able = sums.where("bad >= 3").withColumn("lift", F.col("bad") * F.log(lift)).orderBy(F.desc("lift"), "word").limit(features)
-    words = [r["word"] & (1 << 64) - 1 for r in able.collect()]
-    at = {w: i + 1 for i, w in enumerate(words)}
-    keys = np.sort(np.array(words, np.uint64))
-
-    def places(batches) -> Iterator:
-        """Each text as its length and the places of candidate words."""
-        import pyarrow as pa
-
-        for batch in batches:
-            out = []
-            for text in batch.column(1).to_pylist():
-                h = np.array(_tokens(text), np.uint64)
-                where = np.flatnonzero(np.isin(h, keys))
-                out.append((len(h), where.tolist(), h[where].view(np.int64).tolist()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.list_(pa.int64())), pa.array([x[2] for x in out], pa.list_(pa.int64()))], ["label", "n", "at", "word"])
-
-    found = [(r["label"], r["n"], r["at"], [at[w & (1 << 64) - 1] for w in r["word"]]) for r in rows.select("label", "text").mapInArrow(places, "label int, n long, at array<long>, word array<long>").collect()]  # 2 * per_class rows at most
-    found.sort()
-    bad = set(offending([(set(f[3]), f[0]) for f in found], max(3, held[1] // 100)))
+    rows = rows.where(place < share)
+    rows = Scratch(rows.sparkSession, "toxic").cut(rows.select("label", "text"), "sample")
+    sums = rows.mapInArrow(_document_features, "label int, feature long, n long").groupBy("feature").agg(F.sum(F.expr("if(label = 1, n, 0)")).alias("bad"), F.sum(F.expr("if(label = 0, n, 0)")).alias("good"))
+    lift = F.log((F.col("bad") / held[1]) / ((F.col("good") + 0.5) / (held[0] + 1)))
+    best = sums.where("bad >= 3").withColumn("gain", F.col("bad") * lift).orderBy(F.desc("gain"), "feature").limit(features)
+    hashes = np.array([r["feature"] for r in best.collect()], np.int64).view(np.uint64)
+    order = np.argsort(hashes)
+    keys, rank = hashes[order], order + 1
+    found = _placed(rows, keys, rank)
+    bad = np.array(offending([(f[0], f[3], f[4]) for f in found], max(3, int(held[1]) // 200)), np.int64)
+    if not len(bad):
+        return Field()
+    keep = np.isin(rank, bad)
+    keys, rank = keys[keep], np.searchsorted(bad, rank[keep]) + 1
+    found = _placed(rows, keys, rank)
     windows, states, rng, length = [], [], np.random.default_rng(11), 2 * RADIUS + 1
-    for label_, total, where, which in found:
+    for label_, total, where, which, _ in found:
         have = dict(zip(where, which))
-        spots = where if where else [int(rng.integers(total))] if total else []
-        for spot in spots[:: max(1, len(spots) // 8)]:
+        spots = [*where, int(rng.integers(total))] if total else []
+        for spot in spots:
             span = range(max(0, spot - RADIUS), min(total, spot + RADIUS + 1))
             pad = [-1] * (length - len(span))
             windows.append([have.get(i, 0) for i in span] + pad)
-            states.append([int(label_ and have.get(i) in bad) for i in span] + [0] * len(pad))
-    windows, states = np.array(windows).reshape(-1, length), np.array(states).reshape(-1, length)
-    emit, start, move = train(windows, states, len(words))
-    out.words = {w: emit[i] for w, i in at.items()}
-    out.other, out.start, out.move = emit[0], start, move
-    out.compile()
-    return out
+            states.append([int(label_ and i in have) for i in span] + [0] * len(pad))
+    windows, states = np.array(windows, np.int64).reshape(-1, length), np.array(states, np.int64).reshape(-1, length)
+    model = Field(keys, rank, *train(windows, states, len(bad)))
+    x = np.array([model.evidence(np.array(f[2]), np.array(f[3]), f[1])[0] for f in found])
+    model.slope, model.level = calibrated(x, np.array([f[0] for f in found], float))
+    return model
+
+
+def _placed(rows: DataFrame, keys: np.ndarray, rank: np.ndarray) -> list[tuple]:
+    """(label, length, places, symbols, neighbours) of every training row: about TRAINING_ROWS of them."""
+    return sorted(tuple(r) for r in rows.mapInArrow(_placing(keys, rank), "label int, n long, at array<long>, symbol array<long>, sides array<long>").collect())
 
 
 SPANS = T.ArrayType(T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("stop", T.IntegerType()), T.StructField("p", T.DoubleType())]))
@@ -233,20 +299,19 @@ def score(docs: DataFrame, model: Field, *, text: str = "text", at: float = AT)
         target, m = to_arrow_schema(schema), shared.value
         for batch in batches:
             data, offsets = tx.flat(batch.column(text_at))
-            scores, spans = np.zeros(batch.num_rows), [[] for _ in range(batch.num_rows)]
+            scores, spans = np.full(batch.num_rows, m.score(0.0)), [[] for _ in range(batch.num_rows)]
             for first, last in tx.chunks(offsets) if len(m.keys) else ():
                 w = tx.words_of(data, offsets, first, last, tx.ALNUM)
-                h = tx.word_hashes(w)
-                place = np.flatnonzero(m.held[h >> np.uint64(48)])
-                which = np.minimum(np.searchsorted(m.keys, h[place]), len(m.keys) - 1)
-                same = m.keys[which] == h[place]
-                place, which = place[same], which[same]
+                symbol = symbols(w, m.keys, m.held, m.rank)
+                place = np.flatnonzero(symbol)
+                which = symbol[place]
                 starts = np.cumsum(w.count) - w.count
                 row = w.row[place]
                 cuts = np.searchsorted(row, np.arange(last - first + 1))
                 for r in np.unique(row).tolist():
                     own = slice(cuts[r], cuts[r + 1])
-                    scores[first + r], p = m.score(place[own] - starts[r], which[own], int(w.count[r]))
+                    evidence, p = m.evidence(place[own] - starts[r], which[own], int(w.count[r]))
+                    scores[first + r] = m.score(evidence)
                     base = int(offsets[first + r] - offsets[first])
                     spans[first + r] = [{"begin": int(w.begin[i]) - base, "stop": int(w.stop[i]) - base, "p": float(x)} for i, x in zip(place[own], p) if x >= at]
             yield pa.RecordBatch.from_arrays([*[batch.column(i).cast(target.field(i).type) for i in range(len(names))], pa.array(scores), pa.array(spans, target.field("spans").type)], schema=target)

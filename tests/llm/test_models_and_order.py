@@ -73,7 +73,7 @@ def test_toxic_spans_of_held_out_rows(spark):
     held = toxic_rows(4, 200)
     out = {r["doc_id"]: r for r in toxicity.score(spark.createDataFrame(held + [(900, None, 0), (901, "", 0), (902, "?!", 0)], "doc_id long, text string, toxic int"), model).collect()}
     assert all((out[i]["score"] >= toxicity.CUT) == bool(bad) for i, _, bad in held)
-    assert [out[i]["score"] for i in (900, 901, 902)] == [0, 0, 0]
+    assert all(out[i]["score"] < 0.5 and not out[i]["spans"] for i in (900, 901, 902))
     for i, text, bad in held:
         assert {text.encode()[s["begin"] : s["stop"]].decode().lower() for s in out[i]["spans"]} <= {"vile", "rotten", "nasty"}
         assert bool(out[i]["spans"]) == bool(bad)
@@ -83,10 +83,9 @@ def test_marginals_equal_forward_backward_over_every_word():
     import numpy as np
 
     rng = np.random.default_rng(5)
-    f = toxicity.Field({7: rng.normal(size=2), 9: rng.normal(size=2)}, rng.normal(size=2), rng.normal(size=2), rng.normal(size=(2, 2)))
-    f.compile()
-    for seq in ([0, 0, 7, 0, 9, 9, 0], [7], [0, 9], [9, 0, 0, 0, 0, 0, 0, 0, 7]):
-        e = [np.exp(f.words[w] if w else f.other) for w in seq]
+    f = toxicity.Field(np.zeros(0, np.uint64), np.zeros(0, np.int64), rng.normal(size=(3, 2)), rng.normal(size=2), rng.normal(size=(2, 2)))
+    for seq in ([0, 0, 1, 0, 2, 2, 0], [1], [0, 2], [2, 0, 0, 0, 0, 0, 0, 0, 1]):
+        e = [f.emit[w] for w in seq]
         a = [np.exp(f.start) * e[0]]
         for x in e[1:]:
             a.append((a[-1] @ np.exp(f.move)) * x)
@@ -95,13 +94,12 @@ def test_marginals_equal_forward_backward_over_every_word():
             b.insert(0, np.exp(f.move) @ (x * b[0]))
         want = [float((x * y)[1] / (x * y).sum()) for x, y, w in zip(a, b, seq) if w]
         at = np.array([i for i, w in enumerate(seq) if w])
-        which = np.searchsorted(f.keys, np.array([w for w in seq if w], np.uint64))
-        assert f.marginals(at, which, len(seq)) == pytest.approx(want)
+        assert f.marginals(at, np.array([w for w in seq if w]), len(seq)) == pytest.approx(want)
 
 
 def test_toxicity_without_both_classes(spark):
     model = toxicity.fit(spark.createDataFrame([(1, "a b", 0)], "doc_id long, text string, toxic int"))
-    assert toxicity.score(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), model).collect()[0]["score"] == 0
+    assert toxicity.score(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), model).collect()[0]["score"] < 0.01
 
 
 def test_url_rules_and_templates(spark):
