@@ -130,8 +130,8 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least:
     later = pairs.join(one, "doc")
     both = later.join(one.select(F.col("doc").alias("first"), F.col("lines").alias("first_lines")), "first").select("doc", "lines", "sizes", "first_lines")
     cuts = both.mapInArrow(_aligning(least), "doc long, cut array<int>").where("size(cut) > 0").groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("cut")))).alias("cut"))
-    cuts = s.cut(cuts.withColumnRenamed("doc", "_doc"), "cuts")
+    cuts = s.cut(cuts.select(F.col("doc").alias("_doc"), F.col("cut").alias("_cut")), "cuts")
     out = docs.join(cuts.hint("merge"), F.col(doc_id) == F.col("_doc"), "left")  # shuffled at any size
-    gone = F.coalesce("cut", F.array().cast("array<int>"))
+    gone = F.coalesce("_cut", F.array().cast("array<int>"))
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone, i)), "\n")
-    return out.withColumns({"n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"), "n_removed": F.size(gone).cast("long"), "kept_text": F.when(F.size(gone) == 0, F.col(text)).otherwise(kept)}).drop("_doc", "cut")
+    return out.withColumns({"n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"), "n_removed": F.size(gone).cast("long"), "kept_text": F.when(F.size(gone) == 0, F.col(text)).otherwise(kept)}).drop("_doc", "_cut")
