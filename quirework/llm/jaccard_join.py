@@ -12,7 +12,7 @@ Two documents link when 100 * |A n B| >= 75 * |A u B| for their sets of distinct
    sends one marker to its bucket, so a bucket holds at most one entry of it for each batch.
 4. Candidates pass the length filter (4 |x| >= 3 |y|), the positional filter (what can follow the shared shingle in
    both must reach the required overlap) and the suffix filter (the same bound from counts in hash ranges).
-   Each surviving pair is verified once on the whole sets.
+   A pair comes out once, at the first shingle that both prefixes hold, and is verified once on the whole sets.
 5. A group of near copies would give all its pairs.  First each document is verified against one hub, the member
    that all of a shingle's documents agree on, and links are closed to components; in later rounds only pairs of
    different components are left.  The last round takes all pairs that remain, so no link between components is
@@ -185,8 +185,7 @@ def _sets(k: int):
             for first, last in tx.chunks(offsets):
                 h, row, count = shingles(data, offsets, first, last, k)
                 at = np.concatenate(([0], np.cumsum(count)))
-                hist = np.zeros((last - first, RANGES), np.uint16)
-                np.add.at(hist, (row, (h >> np.uint64(59)).astype(np.int64)), 1)
+                hist = np.bincount(row * RANGES + (h >> np.uint64(59)).astype(np.int64), minlength=(last - first) * RANGES).astype(np.uint32).reshape(-1, RANGES)
                 whole += [h[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
                 ranges += [x.tobytes() for x in hist]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(whole, pa.binary()), pa.array(ranges, pa.binary())], ["doc", "set", "ranges"])
@@ -194,6 +193,17 @@ def _sets(k: int):
     return sets
 
 
+def _suffix_bound(batches) -> Iterator:
+    """(a, b, ranges_a, ranges_b) -> those pairs whose overlap can reach what is required."""
+    import pyarrow as pa
+
+    for batch in batches:
+        x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, RANGES).astype(np.int64) for i in (2, 3))
+        most, n = np.minimum(x, y).sum(1), x.sum(1) + y.sum(1)
+        keep = pa.array(most * (OVER + UNDER) >= n * OVER)
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
+
+
 def _measuring(batches) -> Iterator:
     """(a, b, set_a, set_b) -> (a, b, overlap, union)."""
     import pyarrow as pa
@@ -231,10 +241,12 @@ class Join:
         s = self.scratch
         pairs = s.cut(pairs, f"pairs-{tag}")
         ids = s.cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"ids-{tag}")
-        sets = s.cut(self.docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(self.k), "doc long, set binary, ranges binary"), f"sets-{tag}")
+        sets = s.cut(self.docs.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets(self.k), "doc long, set binary, ranges binary"), f"sets-{tag}")
         x = sets.select(F.col("doc").alias("a"), F.col("set").alias("set_a"))
         y = sets.select(F.col("doc").alias("b"), F.col("set").alias("set_b"))
-        out = pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(_measuring, "a long, b long, overlap long, either long")
+        u, v = sets.select(F.col("doc").alias("a"), F.col("ranges").alias("ranges_a")), sets.select(F.col("doc").alias("b"), F.col("ranges").alias("ranges_b"))
+        near = pairs.select("a", "b").join(u, "a").join(v, "b").select("a", "b", "ranges_a", "ranges_b").mapInArrow(_suffix_bound, "a long, b long")
+        out = near.join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(_measuring, "a long, b long, overlap long, either long")
         out = s.cut(out, f"measured-{tag}")
         s.drop(f"pairs-{tag}", f"ids-{tag}", f"sets-{tag}")
         return out
@@ -260,7 +272,7 @@ def neardup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: i
     member = s.cut(own.join(classes, ["n", "d1", "d2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "member")
     s.drop("seen", "classes")
     copies = s.cut(member.where("doc_id <> rep").select("doc_id").distinct(), "copies")
-    alone = docs.join(copies, "doc_id", "left_anti")
+    alone = docs.join(copies.hint("merge"), "doc_id", "left_anti")  # shuffled at any size
 
     buckets = max(16, int(total * (1 - OVER / UNDER)) // ENTRIES_A_BUCKET)
     packed = alone.mapInArrow(_indexing(spark.sparkContext.broadcast(ranks), buckets, k), "bucket int, postings binary")
@@ -287,9 +299,13 @@ def neardup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: i
         open_ = s.cut(tagged.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token"), f"open-{r}")
         entries = s.cut(tagged.join(open_, "token", "left_semi"), f"entries-{r + 1}")
         s.drop(f"hubs-{r}", f"tagged-{r}", f"open-{r}", f"entries-{r}")
-    x = entries.select("token", *[F.col(c).alias(f"{c}_a") for c in ("doc", "n", "pos", "comp")])
-    y = entries.select("token", *[F.col(c).alias(f"{c}_b") for c in ("doc", "n", "pos", "comp")])
-    fits = compatible(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b"))
+    # a pair comes out at the first shingle that both prefixes hold, and there alone: each posting carries those before
+    own = entries.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", "token", "n", "comp"))).alias("own"))
+    each = own.select("doc", F.col("own.token").alias("tokens"), F.posexplode("own").alias("i", "e")).select("doc", "e.*", F.slice("tokens", 1, F.col("i")).alias("before"))
+    each = s.cut(each, "postings")
+    x = each.select("token", *[F.col(c).alias(f"{c}_a") for c in ("doc", "n", "pos", "comp", "before")])
+    y = each.select("token", *[F.col(c).alias(f"{c}_b") for c in ("doc", "n", "pos", "comp", "before")])
+    fits = compatible(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b")) & ~F.arrays_overlap("before_a", "before_b")
     rest = x.join(y, "token").where((F.col("comp_a") < F.col("comp_b")) & fits).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct()
     if found is not None:
         rest = rest.join(found.select("a", "b").union(found.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
