@@ -11,7 +11,8 @@ Two documents link when 100 * |A n B| >= 75 * |A u B| for their sets of distinct
    bucket; those of shingles that one document alone has end there.  A shingle that is frequent within a batch
    sends one marker to its bucket, so a bucket holds at most one entry of it for each batch.
 4. Candidates pass the length filter (4 |x| >= 3 |y|), the positional filter (what can follow the shared shingle in
-   both must reach the required overlap) and the suffix filter (the same bound from counts in hash ranges).
+   both must reach the required overlap) and the suffix filter (bitmaps of parities in hash ranges bound from below
+   how many shingles only one of the two has).
    A pair comes out once, at the first shingle that both prefixes hold, and is verified once on the whole sets.
 5. A group of near copies would give all its pairs.  First each document is verified against one hub, the member
    that all of a shingle's documents agree on, and links are closed to components; in later rounds only pairs of
@@ -41,7 +42,8 @@ OVER, UNDER = 3, 4
 SKETCH_BITS = 20
 PART_BITS = 14
 ENTRIES_A_BUCKET = 200_000
-RANGES = 32
+#: 64-bit words of the parity bitmap.
+BITMAP = 16
 _MARK = np.uint32(1 << 31)
 
 
@@ -52,6 +54,16 @@ def shingles(data, offsets, first: int, last: int, k: int = K):
     return tx.distinct_in_rows(h, row, last - first)
 
 
+BITS = [f"b{i}" for i in range(BITMAP)]
+
+
+def parities(h: np.ndarray, row: np.ndarray, rows: int) -> np.ndarray:
+    """For each row, whether the number of its shingles in each of 64 * BITMAP hash ranges is odd, packed."""
+    wide = 64 * BITMAP
+    odd = np.bincount(row * wide + ((h >> np.uint64(20)) % np.uint64(wide)).astype(np.int64), minlength=rows * wide) & 1
+    return np.packbits(odd.astype(bool).reshape(rows, wide), axis=1).view(np.int64)
+
+
 def _reading(k: int):
     """(doc_id, text) -> a row (n, d1, d2) for each document, and this task's counters in parts."""
 
@@ -59,14 +71,16 @@ def _reading(k: int):
         import pyarrow as pa
 
         counters, shift = np.zeros(1 << SKETCH_BITS, np.uint32), np.uint64(64 - SKETCH_BITS)
-        names = ["doc_id", "n", "d1", "d2", "part", "counts"]
+        names = ["doc_id", "n", "d1", "d2", "part", "counts", *BITS]
         for batch in batches:
             data, offsets = tx.flat(batch.column(1))
             rows = batch.num_rows
             n, d1, d2 = np.zeros(rows, np.int64), np.zeros(rows, np.uint64), np.zeros(rows, np.uint64)
+            bits = np.zeros((rows, BITMAP), np.int64)
             for first, last in tx.chunks(offsets):
-                h, _, count = shingles(data, offsets, first, last, k)
+                h, row, count = shingles(data, offsets, first, last, k)
                 n[first:last] = count
+                bits[first:last] = parities(h, row, last - first)
                 if len(h):
                     np.add(counters, np.bincount((h >> shift).astype(np.int64), minlength=len(counters)).astype(np.uint32), out=counters)
                     some = np.flatnonzero(count)
@@ -74,11 +88,11 @@ def _reading(k: int):
                     d1[first + some] = np.add.reduceat(tx.mixed(h ^ np.uint64(0x5851F42D4C957F2D)), at)
                     d2[first + some] = np.add.reduceat(tx.mixed(h ^ np.uint64(0x14057B7EF767814F)), at)
             none = pa.nulls(rows)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), none.cast(pa.int32()), none.cast(pa.binary())], names)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n), pa.array(d1.view(np.int64)), pa.array(d2.view(np.int64)), none.cast(pa.int32()), none.cast(pa.binary()), *[pa.array(bits[:, i].copy()) for i in range(BITMAP)]], names)
         parts = counters.reshape(-1, 1 << PART_BITS)
         some = [i for i in range(len(parts)) if parts[i].any()]
         none = pa.nulls(len(some), pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(some, pa.int32()), pa.array([parts[i].tobytes() for i in some], pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(some, pa.int32()), pa.array([parts[i].tobytes() for i in some], pa.binary()), *[none] * BITMAP], names)
 
     return read
 
@@ -174,36 +188,23 @@ def _shared(table):
 
 
 def _sets(k: int):
-    """(doc_id, text) -> (doc, shingle set, counts of its shingles in hash ranges)."""
+    """(doc_id, text) -> (doc, shingle set)."""
 
     def sets(batches) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
             data, offsets = tx.flat(batch.column(1))
-            whole, ranges = [], []
+            whole = []
             for first, last in tx.chunks(offsets):
                 h, row, count = shingles(data, offsets, first, last, k)
                 at = np.concatenate(([0], np.cumsum(count)))
-                hist = np.bincount(row * RANGES + (h >> np.uint64(59)).astype(np.int64), minlength=(last - first) * RANGES).astype(np.uint32).reshape(-1, RANGES)
                 whole += [h[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
-                ranges += [x.tobytes() for x in hist]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(whole, pa.binary()), pa.array(ranges, pa.binary())], ["doc", "set", "ranges"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(whole, pa.binary())], ["doc", "set"])
 
     return sets
 
 
-def _suffix_bound(batches) -> Iterator:
-    """(a, b, ranges_a, ranges_b) -> those pairs whose overlap can reach what is required."""
-    import pyarrow as pa
-
-    for batch in batches:
-        x, y = (np.frombuffer(b"".join(batch.column(i).to_pylist()), np.uint32).reshape(-1, RANGES).astype(np.int64) for i in (2, 3))
-        most, n = np.minimum(x, y).sum(1), x.sum(1) + y.sum(1)
-        keep = pa.array(most * (OVER + UNDER) >= n * OVER)
-        yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep)], ["a", "b"])
-
-
 def _measuring(batches) -> Iterator:
     """(a, b, set_a, set_b) -> (a, b, overlap, union)."""
     import pyarrow as pa
@@ -229,6 +230,12 @@ def compatible(n: Column, p: Column, m: Column, q: Column) -> Column:
     return (UNDER * n >= OVER * m) & (UNDER * m >= OVER * n) & (F.least(n - p, m - q) >= required(n, m))
 
 
+def close(a: str, b: str) -> Column:
+    """Suffix filter: ranges whose parities differ are a lower bound of the shingles that only one of the two has."""
+    differ = sum((F.bit_count(F.col(f"{c}_{a}").bitwiseXOR(F.col(f"{c}_{b}"))) for c in BITS[1:]), F.bit_count(F.col(f"{BITS[0]}_{a}").bitwiseXOR(F.col(f"{BITS[0]}_{b}"))))
+    return differ <= F.col(f"n_{a}") + F.col(f"n_{b}") - 2 * required(F.col(f"n_{a}"), F.col(f"n_{b}"))
+
+
 class Join:
     """Postings, sets and what has been decided so far."""
 
@@ -241,12 +248,10 @@ class Join:
         s = self.scratch
         pairs = s.cut(pairs, f"pairs-{tag}")
         ids = s.cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"ids-{tag}")
-        sets = s.cut(self.docs.join(ids.hint("merge"), "doc_id", "left_semi").mapInArrow(_sets(self.k), "doc long, set binary, ranges binary"), f"sets-{tag}")
+        sets = s.cut(self.docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(self.k), "doc long, set binary"), f"sets-{tag}")
         x = sets.select(F.col("doc").alias("a"), F.col("set").alias("set_a"))
         y = sets.select(F.col("doc").alias("b"), F.col("set").alias("set_b"))
-        u, v = sets.select(F.col("doc").alias("a"), F.col("ranges").alias("ranges_a")), sets.select(F.col("doc").alias("b"), F.col("ranges").alias("ranges_b"))
-        near = pairs.select("a", "b").join(u, "a").join(v, "b").select("a", "b", "ranges_a", "ranges_b").mapInArrow(_suffix_bound, "a long, b long")
-        out = near.join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(_measuring, "a long, b long, overlap long, either long")
+        out = pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(_measuring, "a long, b long, overlap long, either long")
         out = s.cut(out, f"measured-{tag}")
         s.drop(f"pairs-{tag}", f"ids-{tag}", f"sets-{tag}")
         return out
@@ -261,8 +266,8 @@ def neardup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: i
     spark = docs.sparkSession
     s = Scratch(spark, "neardup")
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text)
-    seen = s.cut(docs.mapInArrow(_reading(k), "doc_id long, n long, d1 long, d2 long, part int, counts binary"), "seen")
-    own = seen.where("part is null").select("doc_id", "n", "d1", "d2")
+    seen = s.cut(docs.mapInArrow(_reading(k), f"doc_id long, n long, d1 long, d2 long, part int, counts binary, {', '.join(f'{b} long' for b in BITS)}"), "seen")
+    own = seen.where("part is null").select("doc_id", "n", "d1", "d2", *BITS)
     parts = seen.where("part is not null").select("part", "counts").repartition(1 << (SKETCH_BITS - PART_BITS), "part").mapInArrow(_summing, "part int, ranks binary")
     ranks = np.zeros(1 << SKETCH_BITS, np.uint16)
     for part, blob in parts.collect():  # 2**SKETCH_BITS numbers at any input
@@ -270,9 +275,10 @@ def neardup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: i
     total = own.agg(F.sum("n")).first()[0] or 0
     classes = s.cut(own.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("rep")), "classes")
     member = s.cut(own.join(classes, ["n", "d1", "d2"], "left").select("doc_id", "n", F.coalesce("rep", "doc_id").alias("rep")), "member")
+    bitmaps = s.cut(own.join(member.where("doc_id = rep").select("doc_id"), "doc_id", "left_semi").select(F.col("doc_id").alias("doc"), *BITS).dropDuplicates(["doc"]), "bitmaps")
     s.drop("seen", "classes")
     copies = s.cut(member.where("doc_id <> rep").select("doc_id").distinct(), "copies")
-    alone = docs.join(copies.hint("merge"), "doc_id", "left_anti")  # shuffled at any size
+    alone = docs.join(copies, "doc_id", "left_anti")
 
     buckets = max(16, int(total * (1 - OVER / UNDER)) // ENTRIES_A_BUCKET)
     packed = alone.mapInArrow(_indexing(spark.sparkContext.broadcast(ranks), buckets, k), "bucket int, postings binary")
@@ -282,7 +288,10 @@ def neardup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: i
     join, found, hubs_of = Join(alone, s, k), None, None
     of = None  # components so far
     for r in range(hub_rounds):
-        hubs = s.cut(entries.groupBy("token").agg(F.min(F.struct(F.xxhash64("doc", F.lit(r)).alias("o"), "doc", "n", "pos", *["comp"] * bool(r))).alias("h")), f"hubs-{r}")
+        # in the first round the member with most shared prefix shingles: of near copies, one next to their origin
+        weight = s.cut(entries.groupBy("doc").agg((-F.count("*")).alias("w")), f"weight-{r}")
+        order = F.struct(*([F.col("w")] if not r else []), F.xxhash64("doc", F.lit(r)).alias("o"))
+        hubs = s.cut(entries.join(weight, "doc").groupBy("token").agg(F.min(F.struct(order.alias("order"), "doc", "n", "pos", *["comp"] * bool(r))).alias("h")), f"hubs-{r}")
         fits = compatible(F.col("n"), F.col("pos"), F.col("h.n"), F.col("h.pos")) & (F.col("doc") != F.col("h.doc"))
         near = entries.join(hubs, "token").where(fits & (F.col("comp") != F.col("h.comp")) if r else fits)
         near = near.groupBy(F.col("doc").alias("a"), F.col("h.doc").alias("b")).count()
@@ -298,14 +307,13 @@ def neardup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: i
         tagged = s.cut(tagged, f"tagged-{r}")
         open_ = s.cut(tagged.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token"), f"open-{r}")
         entries = s.cut(tagged.join(open_, "token", "left_semi"), f"entries-{r + 1}")
-        s.drop(f"hubs-{r}", f"tagged-{r}", f"open-{r}", f"entries-{r}")
+        s.drop(f"weight-{r}", f"hubs-{r}", f"tagged-{r}", f"open-{r}", f"entries-{r}")
     # a pair comes out at the first shingle that both prefixes hold, and there alone: each posting carries those before
-    own = entries.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", "token", "n", "comp"))).alias("own"))
-    each = own.select("doc", F.col("own.token").alias("tokens"), F.posexplode("own").alias("i", "e")).select("doc", "e.*", F.slice("tokens", 1, F.col("i")).alias("before"))
+    own = entries.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", "token", "n", "comp"))).alias("own")).join(bitmaps, "doc")
+    each = own.select("doc", F.col("own.token").alias("tokens"), F.posexplode("own").alias("i", "e"), *BITS).select("doc", "e.*", F.slice("tokens", 1, F.col("i")).alias("before"), *BITS)
     each = s.cut(each, "postings")
-    x = each.select("token", *[F.col(c).alias(f"{c}_a") for c in ("doc", "n", "pos", "comp", "before")])
-    y = each.select("token", *[F.col(c).alias(f"{c}_b") for c in ("doc", "n", "pos", "comp", "before")])
-    fits = compatible(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b")) & ~F.arrays_overlap("before_a", "before_b")
+    x, y = (each.select("token", *[F.col(c).alias(f"{c}_{side}") for c in ("doc", "n", "pos", "comp", "before", *BITS)]) for side in "ab")
+    fits = compatible(F.col("n_a"), F.col("pos_a"), F.col("n_b"), F.col("pos_b")) & close("a", "b") & ~F.arrays_overlap("before_a", "before_b")
     rest = x.join(y, "token").where((F.col("comp_a") < F.col("comp_b")) & fits).select(F.col("doc_a").alias("a"), F.col("doc_b").alias("b")).distinct()
     if found is not None:
         rest = rest.join(found.select("a", "b").union(found.select(F.col("b").alias("a"), F.col("a").alias("b"))), ["a", "b"], "left_anti")
