@@ -586,7 +586,7 @@ SELECT l_orderkey, l_linenumber FROM f WHERE abs(l_quantity - base) > 20.000001
 """)
 def repeated_layout(spark, sf_dir):
     """Instances whose metric strays from the first declared one's."""
-    x = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_linenumber") * 1000000000 + F.col("l_partkey") * 100 + F.col("l_quantity").cast("int")).cast("long").alias("o"), F.col("l_quantity").alias("width"), F.lit(20.0).alias("delta"))
+    x = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", (F.col("l_linenumber").cast("long") * 1000000000 + F.col("l_partkey") * 100 + F.col("l_quantity").cast("int")).alias("o"), F.col("l_quantity").alias("width"), F.lit(20.0).alias("delta"))
     return ordered.against_first(x, ["l_orderkey"], "o", ["width"], "delta").select("l_orderkey", "l_linenumber")
 
 

@@ -32,7 +32,7 @@ def legacy_allowlist(spark: SparkSession, path: str) -> DataFrame:
 
 def page_ranges(expression: Column, pages: Column) -> Column:
     """``1,3-5`` as sorted distinct pages; null where it is malformed, reversed or beyond the document."""
-    parts = F.transform(F.split(expression, ","), F.trim)
+    parts = F.transform(F.split(expression, ","), lambda p: F.trim(p))
     good = F.forall(parts, lambda p: p.rlike(r"^[1-9]\d{0,8}(-[1-9]\d{0,8})?$"))
     edges = F.transform(parts, lambda p: F.struct(F.try_element_at(F.split(p, "-"), F.lit(1)).try_cast("int").alias("a"), F.try_element_at(F.split(p, "-"), F.lit(-1)).try_cast("int").alias("b")))
     fits = F.forall(edges, lambda e: F.coalesce((e["a"] <= e["b"]) & (e["b"] <= pages), F.lit(False)))
