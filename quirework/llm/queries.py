@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quirework.llm import decontaminate, jaccard_join, langid, linededup, media, mixing, sharding, toxicity, urlfilter, warczip
 from quirework.llm._scratch import Scratch
+from quirework.llm.oracle import ORACLE  # noqa: F401
 
 
 def remainder(doc_id: str, n: int) -> Column:
@@ -80,4 +81,3 @@ QUERIES = {
     for f in (op1_decontaminate, op2_mix, op3_ngram_jaccard, op4_toxicity, op5_media_chunks, op6_url_templates, op7_shard, op8_language, op9_warc_zip, op10_line_alignment)
 }
 
-ORACLE = {"op2_mix": mixing.ORACLE}
