@@ -12,7 +12,8 @@ of all rows meets many tasks.  One row per source is put in order in one task; n
 
 Edge cases: a null or blank text has size 0 and may be emitted without adding words; a null source is a source
 of its own; a source without words has target 0 and emits nothing; rows that agree in size and id are in any
-order, which leaves the bag of results unchanged; an empty table gives an empty result.
+order, which leaves the bag of results unchanged; an empty table gives an empty result; columns that clash with the
+result's names (source_size, target, copies, taken, weight) are replaced.
 """
 
 from __future__ import annotations
@@ -57,6 +58,7 @@ def targets(sizes: DataFrame, most: int = MOST, weights: int = WEIGHTS) -> DataF
 def mix(docs: DataFrame, *, doc_id: str = "doc_id", most: int = MOST, seed: str = SEED) -> DataFrame:
     """``docs`` (with ``source`` and ``size``) and source_size, target, copies (0 to ``most``), taken."""
     scratch = Scratch(docs.sparkSession, "mix")
+    docs = docs.drop("source_size", "target", "copies", "taken", "weight")
     totals = scratch.cut(docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("_rows")), "totals")
     rows = totals.agg(F.sum("_rows")).first()[0] or 0
     plan = scratch.cut(targets(totals.drop("_rows"), most), "plan").withColumnRenamed("source", "_source")

@@ -37,7 +37,7 @@ FROM documents t LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node, min(reached)
 
 def _shard() -> str:
     bucket = lambda key, seed, n: f"CAST('0x' || substr(md5('{seed}:' || coalesce(CAST({key} AS VARCHAR), '')), 1, 8) AS BIGINT) % {n}"
-    sql = f"""SELECT doc_id, text, size, least(length(bin(size)) - 1, {(1 << BITS) - 1}) AS x0, {bucket("lang", "lang", 1 << BITS)} AS x1, {bucket("source", "source", 1 << BITS)} AS x2 FROM
+    sql = f"""SELECT doc_id, text, size, least(length(bin(size)) - 1, {(1 << BITS) - 1}) AS _h0, {bucket("lang", "lang", 1 << BITS)} AS _h1, {bucket("source", "source", 1 << BITS)} AS _h2 FROM
       (SELECT doc_id, lang, source, coalesce(text, '') AS text, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size FROM documents)"""
     for step in curve_steps():
         sql = f"SELECT * REPLACE ({', '.join(f'{v} AS {k}' for k, v in step.items())}) FROM ({sql})" if "hilbert" not in step else f"SELECT *, {step['hilbert']} AS hilbert FROM ({sql})"

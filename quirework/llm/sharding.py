@@ -8,7 +8,7 @@ Skew: rows of one curve cell are ordered within digest buckets, see ``_rank``; n
 one cell.  Only the cell counts, at most 2**(3 * BITS) times the buckets, meet in one task.
 
 Edge cases: nulls quantise as empty strings, a null text has size 1; rows that agree in everything take adjacent
-slots in any order; fewer rows than shards leave some shards empty; an empty table gives an empty result.
+slots in any order; columns that clash with the result's names are replaced; fewer rows than shards leave some shards empty; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -25,28 +25,28 @@ SHARDS = 8
 
 
 def curve_steps(bits: int = BITS, dims: int = DIMS) -> list[dict[str, str]]:
-    """Skilling's transform of x0..x{dims-1} as SQL: each step assigns columns from the step before; ends in ``hilbert``."""
+    """Skilling's transform of _h0.._h{dims-1} as SQL: each step assigns columns from the step before; ends in ``hilbert``."""
     steps, q = [], 1 << (bits - 1)
     while q > 1:
         p = q - 1
-        steps.append({"x0": f"CASE WHEN (x0 & {q}) <> 0 THEN xor(x0, {p}) ELSE x0 END"})
+        steps.append({"_h0": f"CASE WHEN (_h0 & {q}) <> 0 THEN xor(_h0, {p}) ELSE _h0 END"})
         for i in range(1, dims):
-            steps.append({"x0": f"CASE WHEN (x{i} & {q}) <> 0 THEN xor(x0, {p}) ELSE xor(x0, xor(x0, x{i}) & {p}) END", f"x{i}": f"CASE WHEN (x{i} & {q}) <> 0 THEN x{i} ELSE xor(x{i}, xor(x0, x{i}) & {p}) END"})
+            steps.append({"_h0": f"CASE WHEN (_h{i} & {q}) <> 0 THEN xor(_h0, {p}) ELSE xor(_h0, xor(_h0, _h{i}) & {p}) END", f"_h{i}": f"CASE WHEN (_h{i} & {q}) <> 0 THEN _h{i} ELSE xor(_h{i}, xor(_h0, _h{i}) & {p}) END"})
         q >>= 1
-    steps += [{f"x{i}": f"xor(x{i}, x{i - 1})"} for i in range(1, dims)]
+    steps += [{f"_h{i}": f"xor(_h{i}, _h{i - 1})"} for i in range(1, dims)]
     flip = "0"
     for b in range(bits - 1, 0, -1):
-        flip = f"xor({flip}, CASE WHEN (x{dims - 1} & {1 << b}) <> 0 THEN {(1 << b) - 1} ELSE 0 END)"
-    steps.append({f"x{i}": f"xor(x{i}, {flip})" for i in range(dims)})
-    places = [f"CASE WHEN (x{i} & {1 << b}) <> 0 THEN {1 << (b * dims + dims - 1 - i)} ELSE 0 END" for b in range(bits) for i in range(dims)]
+        flip = f"xor({flip}, CASE WHEN (_h{dims - 1} & {1 << b}) <> 0 THEN {(1 << b) - 1} ELSE 0 END)"
+    steps.append({f"_h{i}": f"xor(_h{i}, {flip})" for i in range(dims)})
+    places = [f"CASE WHEN (_h{i} & {1 << b}) <> 0 THEN {1 << (b * dims + dims - 1 - i)} ELSE 0 END" for b in range(bits) for i in range(dims)]
     return [*steps, {"hilbert": " + ".join(places)}]
 
 
 def hilbert(df: DataFrame) -> DataFrame:
-    """Adds ``hilbert`` for x0, x1, x2 and drops them.  xor() is ^ in Spark SQL."""
+    """Adds ``hilbert`` for _h0, _h1, _h2 and drops them.  xor() is ^ in Spark SQL."""
     for step in curve_steps():
         df = df.withColumns({k: F.expr(spark_xor(v)) for k, v in step.items()})
-    return df.drop(*[f"x{i}" for i in range(DIMS)])
+    return df.drop(*[f"_h{i}" for i in range(DIMS)])
 
 
 def spark_xor(sql: str) -> str:
@@ -66,7 +66,7 @@ def shard(docs: DataFrame, *, doc_id: str = "doc_id", shards: int = SHARDS) -> D
     """``docs`` (with ``size``, ``lang``, ``source``) and law, hilbert, shard, slot, grown_shard."""
     scratch = Scratch(docs.sparkSession, "shard")
     rows = docs.count()
-    placed = docs.withColumns({"x0": F.least(F.length(F.bin("size")) - 1, F.lit((1 << BITS) - 1)), "x1": bucket(F.col("lang"), "lang", 1 << BITS).cast("int"), "x2": bucket(F.col("source"), "source", 1 << BITS).cast("int")})
+    placed = docs.withColumns({"_h0": F.least(F.length(F.bin("size")) - 1, F.lit((1 << BITS) - 1)), "_h1": bucket(F.col("lang"), "lang", 1 << BITS).cast("int"), "_h2": bucket(F.col("source"), "source", 1 << BITS).cast("int")})
     placed = hilbert(placed).withColumn("_bucket", bucket(F.col(doc_id), "shard", buckets_for(rows)))
     placed = ranked(placed, [], ["hilbert", "_bucket"], [doc_id, "size"], "_rank", scratch)
     n = max(rows, 1)

@@ -131,7 +131,7 @@ def calibrated(x: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float, fl
     return float(w[0]), float(w[1])
 
 
-def offending(docs: list[tuple[int, list[int], list[int]]], least: int, ratio: float = 5.0, variety: float = 0.5) -> list[int]:
+def offending(docs: list[tuple[int, list[int], list[int]]], least: int, ratio: float = 5.0, variety: float = 0.5, gain: float = 12.0) -> list[int]:
     """Words that stand out in toxic documents, in many surroundings.  docs: (label, words, hash of both neighbours).
 
     Words that only copies of some toxic document share stand out as well, but always between the same neighbours.
@@ -147,7 +147,8 @@ def offending(docs: list[tuple[int, list[int], list[int]]], least: int, ratio: f
     out = []
     for w, k in held[1].items():
         lift = (k / n[1]) / ((held[0].get(w, 0) + 0.5) / (n[0] + 1))
-        if k >= least and lift >= ratio and len(around[w]) >= max(least, variety * times[w]):
+        # k * log(lift) is about the log of the odds against chance; very many features are looked at
+        if k >= least and lift >= ratio and k * np.log(lift) >= gain and len(around[w]) >= max(least, variety * times[w]):
             out.append(w)
     return sorted(out)
 

@@ -13,7 +13,7 @@ Skew: url rows are reduced to counts by (host, template) with map-side sums befo
 most ``branches`` + 1 children after folding; the join back is on (host, shape) against one row each.
 
 Edge cases: a null url, or one without "://", has an empty host and path and takes no rule; repeated urls are judged
-alike; paths deeper than ``depth`` share one wildcard for what lies below; an empty table gives no rows.
+alike; columns that clash with the result's names are replaced; paths deeper than ``depth`` share one wildcard for what lies below; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -89,7 +89,7 @@ def judge(pages: DataFrame, *, url: str = "url", rules=RULES, reject: float = RE
     """``pages`` and host, path, rule, template, purity, verdict (allow or block)."""
     s = Scratch(pages.sparkSession, "urls")
     host, path = parts(F.col(url))
-    rows = pages.withColumns({"host": host, "path": path})
+    rows = pages.drop("template", "purity", "rule", "verdict").withColumns({"host": host, "path": path})
     rule, label = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumns({"rule": rule, "_label": label, "_shape": shape(F.col("path"), depth)})
     counts = rows.groupBy("host", F.col("_shape").alias("shape")).agg(F.count("*").alias("n"), F.count("_label").alias("labelled"), F.sum(F.when(F.col("_label") == "block", 1).otherwise(0)).alias("block"))
