@@ -16,8 +16,8 @@ Two documents link when 100 * |A n B| >= 75 * |A u B| for their sets of distinct
    A pair comes out once, at the first shingle that both prefixes hold, and is verified once on the whole sets.
 5. A group of near copies would give all its pairs.  First each document is verified against one hub, the member
    that all of a shingle's documents agree on, and links are closed to components; in later rounds only pairs of
-   different components are left.  The last round takes all pairs that remain, so no link between components is
-   lost.  Jaccard distance is a metric: a pair of which both were measured against one hub is skipped when
+   different components are left, and only postings that another component can still make a link with (count filter).
+   The last round takes all pairs that remain, so no link between components is lost.  Jaccard distance is a metric: a pair of which both were measured against one hub is skipped when
    the two distances differ by more than the threshold.
 
 Edge cases: a null or wordless text has an empty set and is linked with nothing; a text of one to four words is one
@@ -29,7 +29,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.llm import _text as tx
@@ -230,6 +230,32 @@ def compatible(n: Column, p: Column, m: Column, q: Column) -> Column:
     return (UNDER * n >= OVER * m) & (UNDER * m >= OVER * n) & (F.least(n - p, m - q) >= required(n, m))
 
 
+def shared_prefix(n: Column, m: Column) -> Column:
+    """Least number of shingles that the prefixes of a linked pair of these sizes share.
+
+    Of the p rarest of n, at most n minus the required overlap aren't common; the common ones in either prefix are the
+    first of one ordered list, so both prefixes hold the shorter of the two beginnings.
+    """
+    prefix = lambda x: x - F.ceil(x * OVER / F.lit(float(UNDER))) + 1
+    least = F.least(prefix(n) - n + required(n, m), prefix(m) - m + required(n, m))
+    return F.greatest(least, F.lit(1))
+
+
+def live(entries: DataFrame, scratch: Scratch, r: int) -> DataFrame:
+    """Postings (token, doc, n, pos, comp) that some posting of another component can still make a link with.
+
+    Count filter: each document's postings must be as many as a linked pair of those sizes shares.  The first common
+    shingle of a pair that may be linked passes for both, so no such pair is lost.
+    """
+    if "c" not in entries.columns:  # counted before anything is left out
+        entries = entries.withColumn("c", F.count("*").over(Window.partitionBy("doc")))
+    e = scratch.cut(entries, f"all-{r}")
+    o = e.select("token", *[F.col(c).alias(f"{c}_o") for c in ("n", "pos", "comp", "c")])
+    n, m = F.col("n"), F.col("n_o")
+    fits = (F.col("comp") != F.col("comp_o")) & compatible(n, F.col("pos"), m, F.col("pos_o")) & (F.least("c", "c_o") >= shared_prefix(n, m))
+    return e.join(o, (e.token == o.token) & fits, "left_semi")
+
+
 def close(a: str, b: str) -> Column:
     """Suffix filter: ranges whose parities differ are a lower bound of the shingles that only one of the two has."""
     differ = sum((F.bit_count(F.col(f"{c}_{a}").bitwiseXOR(F.col(f"{c}_{b}"))) for c in BITS[1:]), F.bit_count(F.col(f"{BITS[0]}_{a}").bitwiseXOR(F.col(f"{BITS[0]}_{b}"))))
@@ -303,11 +329,12 @@ def neardup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: i
         found = now if found is None else found.union(now)
         of = components(linked(found), s, f"of{r}")
         of = s.cut(of, f"comp-{r}")
-        tagged = entries.drop("comp").join(of, entries.doc == of.node, "left").select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("comp"))
+        tagged = entries.drop("comp").join(of, entries.doc == of.node, "left").select("token", "doc", "n", "pos", F.coalesce("component", "doc").alias("comp"), *["c"] * bool(r))
         tagged = s.cut(tagged, f"tagged-{r}")
         open_ = s.cut(tagged.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token"), f"open-{r}")
-        entries = s.cut(tagged.join(open_, "token", "left_semi"), f"entries-{r + 1}")
-        s.drop(f"weight-{r}", f"hubs-{r}", f"tagged-{r}", f"open-{r}", f"entries-{r}")
+        entries = s.cut(live(tagged.join(open_, "token", "left_semi"), s, r), f"entries-{r + 1}")
+        s.drop(f"weight-{r}", f"hubs-{r}", f"tagged-{r}", f"open-{r}", f"entries-{r}", f"all-{r}")
+        s.release()
     # a pair comes out at the first shingle that both prefixes hold, and there alone: each posting carries those before
     own = entries.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("pos", "token", "n", "comp"))).alias("own")).join(bitmaps, "doc")
     each = own.select("doc", F.col("own.token").alias("tokens"), F.posexplode("own").alias("i", "e"), *BITS).select("doc", "e.*", F.slice("tokens", 1, F.col("i")).alias("before"), *BITS)
