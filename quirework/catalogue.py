@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 
 from quirework.functions import geometry as g
 from quirework.functions import text as t
-from quirework.operators import aggregates, graph, joins, matching, ordered
+from quirework.operators import aggregates, drawings, graph, joins, layout, matching, ordered
 from quirework.plans import planner, rules
-from quirework.sources import readers
+from quirework.sources import content_stream, readers
 from quirework.sources.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -673,3 +673,103 @@ def pack_status(spark, sf_dir):
     rows = [("good", "1.0.0", "a" * 64, "0.1.0", "2.0.0", ["g.csv"]), ("old", "1.0.0", "a" * 64, "0.1.0", "0.9.0", ["g.csv"]), ("path", "1.0.0", "a" * 64, "0.1.0", "2.0.0", ["../g.csv"])]
     packs = spark.createDataFrame(rows, "pack_id string, version string, digest string, min_core string, max_core string, paths array<string>")
     return rules.verdict(packs, rules.check(packs, rules.pack_rules("1.2.3"), ["pack_id"]), ["pack_id"])
+
+
+# --- layout contracts and paths on hand-made rows ---------------------------------------------------------------
+
+
+def _box(*v: float) -> tuple:
+    return tuple(float(x) for x in v)
+
+
+@query("SELECT * FROM (VALUES ('g', 'a', 'f', 'COMPONENT_CONTAINMENT_FAILED'), ('g', 'b', 'a', 'COMPONENT_MINIMUM_CLEARANCE_FAILED'), ('g', 'b', 'z', 'COMPONENT_RELATION_TARGET_BBOX_MISSING')) v(group_id, component_id, target_id, code)")
+def member_relation_issues(spark, sf_dir):
+    boxes_ = spark.createDataFrame([("g", "f", _box(0, 0, 10, 10)), ("g", "a", _box(2, 2, 12, 8)), ("g", "b", _box(13, 2, 15, 8))], f"group_id string, component_id string, bbox {g.BOX}")
+    rows = [("g", "a", "f", "contained_in", None, None), ("g", "b", "a", "clearance", 2.0, None), ("g", "b", "a", "align_center_y", None, 0.5), ("g", "b", "z", "contains", None, None)]
+    return layout.member_relations(spark.createDataFrame(rows, "group_id string, component_id string, target_id string, type string, min_clearance double, max_delta double"), boxes_)
+
+
+@query("SELECT * FROM (VALUES ('a', 'TRANSLATION_DEPENDENCY_DRIVER_BBOX_MISSING'), ('b', 'TRANSLATION_DEPENDENCY_EDGE_BINDINGS'), ('c', 'OK')) v(component_id, code)")
+def dependent_box_issues(spark, sf_dir):
+    bind = lambda c, driver, edges: [(c, e, "text", e, driver, 1.0) for e in edges]
+    rows = bind("a", "none", g.EDGES) + bind("b", "t", g.EDGES[:3]) + bind("c", "t", g.EDGES)
+    bindings = spark.createDataFrame(rows, "component_id string, target_edge string, basis string, edge string, driver_id string, offset_pt double")
+    drivers = spark.createDataFrame([("t", "text", _box(1, 1, 5, 5))], f"driver_id string, basis string, bbox {g.BOX}")
+    return layout.dependent_boxes(bindings, drivers).select("component_id", F.coalesce("code", F.lit("OK")).alias("code"))
+
+
+@query("SELECT * FROM (VALUES ('p2', 'TABLE_CELL_PHRASE_MEMBER_MISSING'), ('p2', 'TABLE_CELL_SOURCE_PHRASE_MISMATCH'), ('p3', 'TABLE_CELL_PHRASE_CONTEXT')) v(group_id, code)")
+def phrase_group_issues(spark, sf_dir):
+    rows = [("p1", "a", 1, 1, ["a", "b"], "x y", " ", "x"), ("p1", "b", 2, 1, ["a", "b"], "x y", " ", "y"), ("p2", "c", 1, 1, ["c", "d"], "u v", " ", "u"), ("p3", "e", 1, 1, ["e", "f"], "s t", " ", "s"), ("p3", "f", 2, 2, ["e", "f"], "s t", " ", "t")]
+    return layout.phrase_groups(spark.createDataFrame(rows, "group_id string, segment_id string, ord int, page int, listed array<string>, phrase string, separator string, text string"))
+
+
+@query("SELECT * FROM (VALUES ('set1', 'INLINE_VISUAL_SWEEP_COVERAGE'), ('set2', 'INLINE_VISUAL_SWEEP_UNKNOWN_SEGMENT'), ('w2', 'INLINE_VISUAL_SWEEP_COUNT'), ('s2', 'INLINE_VISUAL_SWEEP_MISSING')) v(id, code)")
+def sweep_issues(spark, sf_dir):
+    sweeps = spark.createDataFrame([("w1", "set1", ["s1"], 1), ("w2", "set2", ["s3", "s9"], 3)], "sweep_id string, set_id string, expected_ids array<string>, expected_count int")
+    return layout.sweep_issues(sweeps, spark.createDataFrame([("s1", "set1"), ("s2", "set1"), ("s3", "set2")], "segment_id string, set_id string"))
+
+
+@query("SELECT * FROM (VALUES ('b', 'INLINE_SUPERSEDED_NOT_COVERED'), ('c', 'INLINE_SUPERSEDED_PAGE'), ('x', 'INLINE_SUPERSEDED_UNKNOWN_SEGMENT'), ('o', 'INLINE_SUPERSEDED_OWNER')) v(segment_id, code)")
+def superseded_issues(spark, sf_dir):
+    segments = spark.createDataFrame([("o", 1, _box(0, 0, 9, 9)), ("a", 1, _box(1, 1, 2, 2)), ("b", 1, _box(8, 8, 12, 9)), ("c", 2, _box(1, 1, 2, 2))], f"segment_id string, page int, bbox {g.BOX}")
+    mapping = spark.createDataFrame([(x, "o") for x in "abcxo"], "segment_id string, owner_id string")
+    return layout.superseded_issues(mapping, segments, spark.createDataFrame([("o", _box(0, 0, 9, 9))], f"owner_id string, cover {g.BOX}"))
+
+
+@query("SELECT * FROM (VALUES ('s', 2, 'INLINE_VISUAL_INTERNAL_SCALING'), ('s', 3, 'INLINE_VISUAL_SHIFT_MISMATCH')) v(segment_id, ord, code)")
+def inline_relocation_issues(spark, sf_dir):
+    rows = [("s", 1, "up", _box(0, 0, 10, 10), _box(5, 0, 15, 10), 5.0, 0.0), ("s", 2, "down", _box(0, 0, 10, 10), _box(5, 0, 16, 10), 5.0, 0.0), ("s", 3, "left", _box(0, 0, 10, 10), _box(5, 0, 15, 10), 4.0, 0.0)]
+    return layout.inline_issues(spark.createDataFrame(rows, f"segment_id string, ord int, label string, source_bbox {g.BOX}, target_bbox {g.BOX}, dx double, dy double"))
+
+
+@query("SELECT * FROM (VALUES ('b', 'BACKGROUND_ADJUSTMENT_EXPANDS'), ('c', 'BACKGROUND_AVOID_REGION_INTERSECTION')) v(segment_id, code)")
+def background_issues(spark, sf_dir):
+    rows = [("a", _box(0, 0, 9, 9), _box(1, 1, 8, 8), [_box(8, 0, 9, 9)]), ("b", _box(0, 0, 9, 9), _box(1, 1, 10, 8), []), ("c", _box(0, 0, 9, 9), _box(1, 1, 8, 8), [_box(7, 7, 9, 9)])]
+    return layout.adjusted_background(spark.createDataFrame(rows, f"segment_id string, source_bbox {g.BOX}, target_bbox {g.BOX}, avoid array<{g.BOX}>"))
+
+
+@query("SELECT * FROM (VALUES ('a', 0, 'S', 3, 'OK'), ('a', 1, 'f', 1, 'OK'), ('b', NULL, NULL, NULL, 'CONTENT_PATH_UNTERMINATED')) v(doc_id, path_index, paint, n_ops, code)")
+def content_path_rows(spark, sf_dir):
+    """Content streams to path records; a malformed one is an issue."""
+    rows = [("a", 1, 1, bytearray(b"q 1 0 0 1 2 3 cm 0 0 m 5 0 l h S Q 1 1 4 4 re f")), ("b", 1, 1, bytearray(b"0 0 m 1 1 l"))]
+    out = content_stream.content_paths(spark.createDataFrame(rows, "doc_id string, page int, xref int, content binary"))
+    return out.select("doc_id", "path_index", "paint", F.when(F.col("ops").isNotNull(), F.size("ops")).alias("n_ops"), F.coalesce("code", F.lit("OK")).alias("code"))
+
+
+@query("SELECT * FROM (VALUES ('d', 1, 3)) v(doc_id, page, idx)")
+def missing_drawings(spark, sf_dir):
+    """Exact copies pair off first; the rest under tolerance by a maximum matching."""
+    row = lambda i, dx: ("d", 1, i, _box(dx, 0, dx + 10, 1), "s", None, [0.0, 0.0, 0.0], 1.0, 0.0, 1.0, 1.0, "[] 0", None, False, False, [("l", [dx, 0.0, dx + 10.0, 0.0])])
+    source, candidate = [row(0, 0.0), row(1, 0.0), row(2, 50.0), row(3, 90.0)], [row(0, 0.0), row(1, 0.0005), row(2, 50.0009), row(3, 90.1)]
+    return drawings.missing(spark.createDataFrame(source, drawings.SCHEMA), spark.createDataFrame(candidate, drawings.SCHEMA))
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE list_sort(list_distinct(list_concat([1 + o_orderkey % 5], range(3, 4 + o_orderkey % 4)))) END AS pages FROM orders")
+def page_ranges(spark, sf_dir):
+    """Expressions such as ``2,3-5`` as sorted distinct pages; reversed ones are null."""
+    k = F.col("o_orderkey")
+    spec = F.when(k % 9 == 0, F.lit("5-2")).otherwise(F.concat((1 + k % 5).cast("string"), F.lit(",3-"), (3 + k % 4).cast("string")))
+    return table(spark, sf_dir, "orders").select("o_orderkey", readers.page_ranges(spec, F.lit(99)).alias("pages"))
+
+
+@query("SELECT * FROM (VALUES (1, 1), (2, 1), (3, 2)) v(line, span)")
+def free_span_match(spark, sf_dir):
+    """Lines in order take the one span still free; span 1 goes to page 1's line and so on."""
+    lines = spark.createDataFrame([(1, 1, "ok", _box(0, 0, 10, 10), 10.0), (2, 2, "ok", _box(0, 0, 10, 10), 10.0), (2, 3, "ok", _box(0, 0, 30, 10), 10.0)], f"page int, line int, text string, box {g.BOX}, size double")
+    spans = spark.createDataFrame([(1, 1, "ok", 5.0, 5.0), (2, 1, "ok", 5.0, 5.0), (2, 2, "ok", 25.0, 5.0)], "page int, span int, text string, cx double, cy double")
+    return matching.free_text_match(lines, spans, ["page"], "line", "span", "text", "cx", "cy", "box", "size").select("line", "span")
+
+
+@query()
+def wrapped_lines(spark, sf_dir):
+    """Greedy line breaking of a turn at 40 units, by a fold over its words."""
+    words = F.transform(F.split("text", " "), lambda w: F.length(w).cast("double") + 1)
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", F.array_max(ordered.wrapped(words, F.lit(40.0))).alias("lines"))
+
+
+@query("SELECT * FROM (VALUES ('a', 'PASS'), ('b', 'BLOCKED'), ('c', 'BLOCKED')) v(token, status)")
+def allowlist_status(spark, sf_dir):
+    rows = [("a", "brand", "registered trade name", [1, 2], [1], ["s"], True, "policy", "r"), ("b", "brand", "too hard to translate", [1, 2], [1], ["s"], True, "policy", "r"), ("c", "brand", "registered trade name", [1, 2], [3], ["s"], True, "policy", "r")]
+    df = spark.createDataFrame(rows, "token string, type string, reason string, scope_pages array<int>, pages array<int>, segment_ids array<string>, exact boolean, basis_type string, basis_reference string")
+    return rules.verdict(df, rules.check(df, rules.allowlist_rules(("brand",), ("policy",), ("too hard",)), ["token"]), ["token"])
