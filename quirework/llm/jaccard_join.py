@@ -27,9 +27,10 @@ shingle; rows that repeat an id are one node; extra columns are ignored; an empt
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quirework.llm import _text as tx
@@ -262,6 +263,18 @@ def close(a: str, b: str) -> Column:
     return differ <= F.col(f"n_{a}") + F.col(f"n_{b}") - 2 * required(F.col(f"n_{a}"), F.col(f"n_{b}"))
 
 
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 400) -> Iterator[None]:
+    """Arrow batches of few rows while tables of shingle sets are written; the session's own setting comes back."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 class Join:
     """Postings, sets and what has been decided so far."""
 
@@ -274,11 +287,13 @@ class Join:
         s = self.scratch
         pairs = s.cut(pairs, f"pairs-{tag}")
         ids = s.cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"ids-{tag}")
-        sets = s.cut(self.docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(self.k), "doc long, set binary"), f"sets-{tag}")
+        with small_batches(s.spark):
+            sets = s.cut(self.docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(self.k), "doc long, set binary"), f"sets-{tag}")
         x = sets.select(F.col("doc").alias("a"), F.col("set").alias("set_a"))
         y = sets.select(F.col("doc").alias("b"), F.col("set").alias("set_b"))
         out = pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "set_a", "set_b").mapInArrow(_measuring, "a long, b long, overlap long, either long")
-        out = s.cut(out, f"measured-{tag}")
+        with small_batches(s.spark):
+            out = s.cut(out, f"measured-{tag}")
         s.drop(f"pairs-{tag}", f"ids-{tag}", f"sets-{tag}")
         return out
 
