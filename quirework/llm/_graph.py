@@ -1,36 +1,3 @@
-"""Connected components by alternating large-star and small-star rounds; no edge or label leaves the cluster."""
+"""The library's connected components."""
 
-from __future__ import annotations
-
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from quirework.llm._scratch import Scratch
-
-
-def components(edges: DataFrame, scratch: Scratch, tag: str, most_rounds: int = 60) -> DataFrame:
-    """(node, component) for every node of edges(a, b); component is the smallest node that is reachable.
-
-    Each round is two hash aggregations with map-side minima and two joins.  A star of any size ends in the
-    first round; a path of length n in about log n rounds.
-    """
-    known = scratch.cut(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), f"{tag}-0")
-    last = None
-    for i in range(1, most_rounds + 1):
-        both = known.union(known.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = scratch.cut(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{tag}-l{i}")
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = scratch.cut(large.where("u <> v").distinct(), f"{tag}-b{i}")
-        least = scratch.cut(large.groupBy("u").agg(F.min("v").alias("m")), f"{tag}-s{i}")
-        moved = large.join(least, "u").select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e")).select("e.*")
-        now = scratch.cut(moved.where("u <> v").distinct(), f"{tag}-{i}")
-        sums = [F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))]
-        state = tuple(now.agg(*sums).first())
-        scratch.drop(f"{tag}-{i - 1}", f"{tag}-l{i}", f"{tag}-b{i}", f"{tag}-s{i}")
-        known = now
-        if state == last or not state[0]:
-            break
-        last = state
-    else:
-        raise RuntimeError("components did not settle")
-    return known.groupBy("u").agg(F.min("v").alias("component")).withColumnRenamed("u", "node").union(known.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+from quirework.operators.graph import components  # noqa: F401
