@@ -466,6 +466,18 @@ def repeated_notes(spark, sf_dir):
     return n.groupBy("note").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("doc_id")).alias("pages")).where("n > 1")
 
 
+@query("""
+WITH n AS (SELECT doc_id, regexp_replace(replace(lower(text), 'ß', 'ss'), '[^\\p{L}\\p{N}]+', '', 'g') AS note FROM documents)
+SELECT sha256(note) AS note_sha256, CAST(count(*) AS BIGINT) AS n, list_sort(list(doc_id)) AS pages FROM n WHERE length(note) >= 20 GROUP BY 1 HAVING count(*) > 1
+""")
+def repeated_notes_whole(spark, sf_dir):
+    """repeated_notes over the whole of each note, by digest."""
+    note = F.regexp_replace(t.folded(F.col("text")), r"[^\p{L}\p{N}]+", "")
+    n = table(spark, sf_dir, "documents").select("doc_id", note.alias("note")).where("length(note) >= 20")
+    n = n.select("doc_id", F.sha2(F.col("note").cast("binary"), 256).alias("note_sha256"))
+    return n.groupBy("note_sha256").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("doc_id")).alias("pages")).where("n > 1")
+
+
 @query("SELECT CAST(sum(s) AS DOUBLE) AS worker_seconds, CAST(sum(m) AS DOUBLE) AS wall_seconds, CAST(count(*) AS BIGINT) AS waves FROM (SELECT event_type, sum(round(value)) AS s, max(round(value)) AS m FROM events GROUP BY 1)")
 def wave_timing(spark, sf_dir):
     return aggregates.wave_times(table(spark, sf_dir, "events").select(F.col("event_type").alias("wave"), F.round("value").alias("elapsed")))

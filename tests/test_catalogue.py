@@ -42,3 +42,10 @@ def test_entry_module():
 
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(catalogue.QUERIES) <= set(entry.queries())
+
+
+def test_notes_that_differ_after_their_beginning_are_not_repeated(spark, tmp_path):
+    head = "One and the same opening of sixty characters, and then some more: "
+    rows = [(1, head + "one"), (2, head + "two"), (3, head + "ONE!"), (4, "- " * 40 + head), (5, "* " * 40 + head)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    assert sorted(r["pages"] for r in catalogue.QUERIES["repeated_notes_whole"](spark, str(tmp_path)).collect()) == [[1, 3], [4, 5]]
