@@ -181,6 +181,16 @@ def text_measures(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", F.length(x).cast("long").alias("chars"), t.count_of(x, F.lit("en")).cast("long").alias("token_count"), t.folded(F.substring(x, 1, 40)).alias("folded"), t.has_cjk(x).alias("cjk"))
 
 
+@query("""
+SELECT doc_id, CAST(length(text) AS BIGINT) AS chars, CAST((length(text) - length(replace(text, 'en', ''))) // 2 AS BIGINT) AS token_count,
+  sha256(replace(lower(text), 'ß', 'ss')) AS folded_sha256, regexp_matches(text, '[\\x{3400}-\\x{9fff}]') AS cjk FROM documents
+""")
+def text_measures_whole(spark, sf_dir):
+    """text_measures with the digest of the whole folded text."""
+    x = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", F.length(x).cast("long").alias("chars"), t.count_of(x, F.lit("en")).cast("long").alias("token_count"), F.sha2(t.folded(x).cast("binary"), 256).alias("folded_sha256"), t.has_cjk(x).alias("cjk"))
+
+
 @query(r"""
 SELECT doc_id, regexp_matches(text, '(?i)([A-Z]:[\\/]Users[\\/]|/(home|Users)/[^/]+/)') AS private_path,
   regexp_matches(text, '(?i)(api[_-]?key|access[_-]?token|client[_-]?secret|password)\s*[:=]\s*["''][^"'']{8,}["'']') AS possible_secret FROM documents
