@@ -8,8 +8,12 @@ Each pair is aligned by patience diff (lines that are unique in both anchor the
 its neighbours, and recursed between), and aligned common blocks of at least ``block`` lines or ``least`` characters
 are deleted from the later document.
 
+With ``all_holders`` the result is that of alignment with every earlier holder: what the first round leaves is paired
+through runs of lines (see _windows) with the next holder of each run for some rounds, then with all others.
+
 Skew: pairs go from each document to the earliest holder of a line, so a line in a third of all documents makes one
-pair for each, never all pairs of its group; minima and counts are combined before the shuffle, and joins against
+pair for each, never all pairs of its group (the last round of ``all_holders`` does pair what no round before it could
+delete with all holders that are left); minima and counts are combined before the shuffle, and joins against
 one row per line or document let Spark split the hot side.
 
 Edge cases: a null text has no lines and stays null; blank and short lines never pair documents but are deleted
@@ -28,6 +32,8 @@ from pyspark.sql import functions as F
 from quirework.llm._scratch import Scratch
 
 LEAST = 20
+#: Rounds that try one more holder of each run that is left, before all others are tried at once.
+ROUNDS = 4
 
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
@@ -113,7 +119,47 @@ def _aligning(least: int):
     return align
 
 
-def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
+def _windows(least: int, leftover: bool):
+    """(doc, sizes, lines[, cut]) -> (doc, line): a key for each shortest run of lines from a line on, or up to it,
+    that holds ``least`` characters; with cut, only runs that hold a line outside it."""
+    odd, inverse = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
+
+    def powers(base: int, n: int):
+        return np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, base, np.uint64))])
+
+    def windows(batches) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            docs, sizes, lines = batch.column(0), batch.column(1), batch.column(2)
+            counts = np.diff(sizes.offsets.to_numpy())
+            size, line = sizes.flatten().to_numpy().astype(np.int64), lines.flatten().to_numpy().view(np.uint64)
+            n = len(size)
+            first = np.repeat(np.cumsum(counts) - counts, counts)
+            last = first + np.repeat(counts, counts)
+            at = np.arange(n)
+            chars = np.concatenate([np.zeros(1, np.int64), np.cumsum(size)])
+            sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(line * powers(odd, n)[:n], dtype=np.uint64)])
+            shift = powers(inverse, n)
+            ends = np.searchsorted(chars, chars[at] + least)  # first end with enough characters from each line on
+            starts = np.searchsorted(chars, chars[at + 1] - least, "right") - 1  # last start with enough up to each line
+            begin = np.concatenate([at[ends <= last], at[starts >= first]])
+            end = np.concatenate([ends[ends <= last], at[starts >= first] + 1])
+            if leftover:
+                cuts, kept = batch.column(3), np.ones(n, np.int64)
+                kept[cuts.flatten().to_numpy() + np.repeat(np.cumsum(counts) - counts, np.diff(cuts.offsets.to_numpy()))] = 0
+                left = np.concatenate([np.zeros(1, np.int64), np.cumsum(kept)])
+                good = left[end] > left[begin]
+                begin, end = begin[good], end[good]
+            key = ((sums[end] - sums[begin]) * shift[begin]).view(np.int64)
+            row = np.repeat(np.arange(len(counts)), counts)[begin]
+            both = np.unique(np.stack([row, key]), axis=1) if len(row) else np.zeros((2, 0), np.int64)
+            yield pa.RecordBatch.from_arrays([docs.take(pa.array(both[0])), pa.array(both[1])], ["first" if not leftover else "doc", "line"])
+
+    return windows
+
+
+def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least: int = LEAST, all_holders: bool = False) -> DataFrame:
     """``docs`` and n_lines, n_removed, kept_text."""
     s = Scratch(docs.sparkSession, "lines")
     lines = F.split(F.col(text), "\n")
@@ -127,11 +173,70 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least:
     pairs = each.join(firsts, "line").where("doc > first").groupBy("doc", "first").agg(F.min("df").alias("rarest"))
     pairs = s.cut(pairs.select("doc", "first"), "pairs")
     s.drop("firsts")
-    later = pairs.join(one, "doc")
-    both = later.join(one.select(F.col("doc").alias("first"), F.col("lines").alias("first_lines")), "first").select("doc", "lines", "sizes", "first_lines")
-    cuts = both.mapInArrow(_aligning(least), "doc long, cut array<int>").where("size(cut) > 0").groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("cut")))).alias("cut"))
+
+    def aligned(pairs: DataFrame) -> DataFrame:
+        later = pairs.join(one, "doc")
+        both = later.join(one.select(F.col("doc").alias("first"), F.col("lines").alias("first_lines")), "first").select("doc", "lines", "sizes", "first_lines")
+        return both.mapInArrow(_aligning(least), "doc long, cut array<int>").where("size(cut) > 0")
+
+    def union(cuts: DataFrame) -> DataFrame:
+        return cuts.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("cut")))).alias("cut"))
+
+    cuts = union(aligned(pairs))
+    if all_holders:
+        cuts, done, bound = s.cut(cuts, "first_cuts"), pairs, None
+        later = s.cut(pairs.select("doc").distinct().join(one, "doc"), "later")
+        holders = s.cut(_holders(s, one, later, cuts, least), "holders")
+        for k in range(ROUNDS + 1):
+            left = s.cut(_left(later, cuts, least), f"left{k}")
+            if k < ROUNDS:  # the next holder of each run
+                some = holders if bound is None else holders.join(bound, "line").where("first > bound")
+                bound = s.cut(some.groupBy("line").agg(F.min("first").alias("bound")), f"bound{k}")
+                some = bound.withColumnRenamed("bound", "first")
+            else:  # all others
+                some = s.cut(_unlike(one, left, holders), "unlike")
+            more = left.join(some, "line").where("doc > first").select("doc", "first").distinct().join(done, ["doc", "first"], "left_anti")
+            more = s.cut(more, f"further{k}")
+            done = done.unionByName(more)
+            cuts = s.cut(union(cuts.unionByName(aligned(more))), f"cuts{k}")
     cuts = s.cut(cuts.select(F.col("doc").alias("_doc"), F.col("cut").alias("_cut")), "cuts")
     out = docs.join(cuts.hint("merge"), F.col(doc_id) == F.col("_doc"), "left")  # shuffled at any size
     gone = F.coalesce("_cut", F.array().cast("array<int>"))
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone, i)), "\n")
     return out.withColumns({"n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"), "n_removed": F.size(gone).cast("long"), "kept_text": F.when(F.size(gone) == 0, F.col(text)).otherwise(kept)}).drop("_doc", "_cut")
+
+
+def _left(later: DataFrame, cuts: DataFrame, least: int) -> DataFrame:
+    """(doc, line): the runs of later documents that hold lines outside the cuts."""
+    x = later.join(cuts, "doc", "left").select("doc", "sizes", "lines", F.coalesce("cut", F.array().cast("array<int>")).alias("cut"))
+    return x.mapInArrow(_windows(least, True), "doc long, line long")
+
+
+def _holders(s: Scratch, one: DataFrame, later: DataFrame, cuts: DataFrame, least: int) -> DataFrame:
+    """(first, line): the documents that hold a run which the cuts leave over in a later one.
+
+    A line is in an aligned block with an earlier document only if one of the runs of _windows() that hold the line
+    stands in both.  Of documents with equal lines only the earliest is needed.
+    """
+    left = s.cut(_left(later, cuts, least), "left")
+    alike = one.groupBy(F.xxhash64("lines").alias("x"), F.hash("lines").alias("y")).agg(F.min("doc").alias("doc"))
+    holders = one.join(alike.select("doc"), "doc").select("doc", "sizes", "lines").mapInArrow(_windows(least, False), "first long, line long")
+    shared = left.groupBy("line").agg(F.max("doc").alias("last"))
+    return holders.join(shared, "line").where("first < last").select("first", "line")
+
+
+def _unlike(one: DataFrame, left: DataFrame, holders: DataFrame) -> DataFrame:
+    """Of holders that look alike to all documents with runs left, the earliest.
+
+    Only lines of these documents can be aligned; what stands between them is a gap that matches nothing, whatever it
+    holds, so holders with the same such lines and gaps are aligned in the same way.
+    """
+    open_ = left.join(holders.groupBy("line").agg(F.min("first").alias("first")), "line").where("doc > first").select("doc").distinct()
+    known = one.join(open_, "doc").select(F.explode("lines").alias("x")).distinct()
+    held = one.withColumnRenamed("doc", "first").join(holders.select("first").distinct(), "first")
+    at = held.select("first", F.size("lines").alias("n"), F.posexplode("lines").alias("at", "x")).join(known, "x")
+    at = at.groupBy("first", "n").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("a"))
+    gaps = F.transform("a", lambda p, i: F.when(i == 0, p["at"] > 0).otherwise(p["at"] - F.get("a", i - 1)["at"] > 1))
+    at = at.select("first", F.transform("a", lambda p: p["x"]).alias("xs"), gaps.alias("gaps"), (F.element_at("a", -1)["at"] < F.col("n") - 1).alias("end"))
+    of = at.groupBy(F.sha2(F.to_json(F.struct("xs", "gaps", "end")).cast("binary"), 256).alias("look")).agg(F.min("first").alias("first"))
+    return holders.join(of.select("first"), "first").select("first", "line")

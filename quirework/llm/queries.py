@@ -72,7 +72,7 @@ def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), all_holders=True)
     return out.select("doc_id", "n_lines", "n_removed", F.length("kept_text").cast("long").alias("kept_chars"), F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 

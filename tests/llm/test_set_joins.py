@@ -122,3 +122,32 @@ def test_patience_diff_aligns_in_order():
 
 def test_line_dedup_of_an_empty_table(spark):
     assert linededup.dedup(spark.createDataFrame([], "doc_id long, text string, cut int")).count() == 0
+
+
+def plain_aligned_with_all(rows, least=20):
+    """Alignment with every earlier document that shares a run of lines with ``least`` characters."""
+    lines = {d: [x.strip(" ") for x in t.split("\n")] for d, t in rows}
+    runs = {}
+    for d, x in lines.items():
+        runs[d] = {tuple(x[i:k]) for i in range(len(x)) for k in range(i + 1, len(x) + 1) if sum(map(len, x[i:k])) >= least}
+    out = {}
+    for d, text in rows:
+        gone = set()
+        for e in lines:
+            if e < d and runs[d] & runs[e]:
+                gone |= set(linededup.removed(lines[d], lines[e], [len(x) for x in lines[d]], least))
+        out[d] = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
+    return out
+
+
+def test_line_dedup_with_all_holders_goes_beyond_the_earliest_one(spark):
+    x, y = "the first line of a block of two", "the second line of a block of two"
+    rows = [(1, f"{y}\nbetween\n{x}"), (2, f"{x}\n{y}\nshort"), (3, f"own words\n{x}\n{y}\nshort")]
+    rng = random.Random(3)
+    pool = [f"a shared line with number {i} in it" for i in range(12)] + ["x", "", "brief"]
+    rows += [(i, "\n".join(rng.choices(pool, k=rng.randint(1, 6)) + [f"a line of document {i} and no other"] * (i % 2))) for i in range(4, 70)]
+    rows += [(i + 100, text) for i, text in rows[::5]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["kept_text"] for r in linededup.dedup(docs, all_holders=True).collect()}
+    assert got == plain_aligned_with_all(rows)
+    assert got[3] == "own words"
