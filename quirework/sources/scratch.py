@@ -6,22 +6,35 @@ before, and a plan that uses it twice doesn't run twice.
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_own: dict[str, str] = {}
+
+
 def folder(spark: SparkSession) -> str:
-    """spark.checkpoint.dir; only where it is unset, a folder of our own (single machine, as in tests)."""
+    """spark.checkpoint.dir; only where it is unset, a folder of our own (single machine, as in tests), gone at exit."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    own = f"file://{tempfile.mkdtemp(prefix='quirework-')}"
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _own:
+        own = tempfile.mkdtemp(prefix="quirework-")
+        atexit.register(shutil.rmtree, own, True)
+        _own[app] = f"file://{own}"
+    return _own[app]
+
+
+#: Small row groups: a writer holds one whole group in memory.
+WRITE = {"compression": "zstd", "parquet.block.size": str(16 << 20)}
 
 
 class Scratch:
@@ -32,14 +45,14 @@ class Scratch:
 
     def cut(self, df: DataFrame, name: str, **options) -> DataFrame:
         path = f"{self.top}/{name}"
-        df.write.mode("errorifexists").option("compression", "zstd").options(**options).parquet(path)
+        df.write.mode("errorifexists").options(**(WRITE | options)).parquet(path)
         self.paths[name] = path
         return self.spark.read.schema(df.schema).parquet(path)
 
     def part(self, df: DataFrame, name: str, by: str, schemas: dict[str, str], **options) -> dict[str, DataFrame]:
         """One pass written in parts by the values of ``by``; a part without rows is an empty table."""
         path, out = f"{self.top}/{name}", {}
-        df.write.mode("errorifexists").option("compression", "zstd").options(**options).partitionBy(by).parquet(path)
+        df.write.mode("errorifexists").options(**(WRITE | options)).partitionBy(by).parquet(path)
         hadoop = self.spark.sparkContext._jsc.hadoopConfiguration()
         for value, schema in schemas.items():
             self.paths[f"{name}/{value}"] = own = f"{path}/{by}={value}"
@@ -53,10 +66,3 @@ class Scratch:
         for name in names:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(name))
             path.getFileSystem(hadoop).delete(path, True)
-
-    def release(self) -> None:
-        """Ask the driver's JVM to let go of the shuffle files of plans that nobody holds."""
-        import gc
-
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
