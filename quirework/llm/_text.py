@@ -13,7 +13,7 @@ from typing import NamedTuple
 
 import numpy as np
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 _P = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = np.random.default_rng(20240229).integers(1 << 40, 1 << 63, 64, np.uint64) | np.uint64(1)
 _BYTE_VALUES = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64)
@@ -99,7 +99,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 def running(w: Words) -> tuple[np.ndarray, np.ndarray]:
     """Running polynomial of the chunk's bytes, and what brings differences to a common exponent."""
     n = len(w.data)
-    forth, back = _powers(1 << max(20, n.bit_length()))
+    forth, back = _powers(1 << max(19, n.bit_length()))
     run = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE_VALUES[w.data] * forth[:n], out=run[1:])
     return run, back
