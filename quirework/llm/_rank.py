@@ -1,8 +1,9 @@
-"""Positions in a total order without one task seeing more than a cell of it.
+"""Positions in a total order without one task seeing more than a range of it.
 
-A global row_number() moves all rows to one task.  Here rows fall into ordered cells; cells are counted with
-map-side combining, the few cell counts are prefix-summed, and row_number() runs within cells only.  A cell
-splits further by a digest of the row's id, so one value that a third of all rows share still meets many tasks.
+A global row_number() moves all rows to one task.  Here rows are dealt to ranges of the order (Spark samples the
+bounds), sorted within them, and numbered range by range; only the counts of the ranges, one for each partition, meet.
+The order is total up to rows that agree in everything, so the result depends neither on how many ranges there are nor
+on their bounds; a last key spreads rows that agree in everything, however many they are, over several ranges.
 """
 
 from __future__ import annotations
@@ -10,38 +11,30 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirework.llm._scratch import Scratch
+from quirework.sources.scratch import Scratch
 
-#: Rows for which another digest bucket is opened in each cell.
-ROWS_A_BUCKET = 2_000_000
-LEAST_BUCKETS = 8
+_ROWS = (1 << 33) - 1
 
 
-def buckets_for(rows: int) -> int:
-    return max(LEAST_BUCKETS, -(-rows // ROWS_A_BUCKET))
-
-
-def bucket(key: Column, seed: str, n: int) -> Column:
-    """0..n-1 from the first 32 bits of md5; the same in any SQL engine.  A null key counts as an empty string."""
+def digest(key: Column, seed: str) -> Column:
+    """The first 32 bits of md5; the same in any SQL engine.  A null key counts as an empty string."""
     text = F.concat(F.lit(seed + ":"), F.coalesce(key.cast("string"), F.lit("")))
-    return F.pmod(F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long"), F.lit(n))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
 
 
-def ranked(df: DataFrame, group: list[str], cell: list[str], order: list[str], name: str, scratch: Scratch) -> DataFrame:
-    """``df`` with its 0-based position within ``group`` when sorted by ``cell`` and then ``order``.
+def ranked(df: DataFrame, order: list[Column], name: str, scratch: Scratch) -> DataFrame:
+    """``df`` with its 0-based position when sorted by ``order``.
 
-    ``cell`` columns must be few-valued per group.  Rows that agree in everything are in any order, so the
-    result as a bag of rows is the same in every run.
+    Rows that agree in ``order`` are in any order; let it name all that matters, so that the result as a bag of rows is
+    the same in every run.
     """
-    cells = df.groupBy(*group, *cell).agg(F.count("*").alias("_n"))
-    w = Window.partitionBy(*group) if group else Window.partitionBy(F.lit(0))
-    before = cells.select(*group, *cell, (F.sum("_n").over(w.orderBy(*cell).rowsBetween(Window.unboundedPreceding, 0)) - F.col("_n")).alias("_before"))
-    inside = df.withColumn("_in", F.row_number().over(Window.partitionBy(*group, *cell).orderBy(*order)))
-    same = None
-    keys = [*group, *cell]
-    # written, so that its size is known: it is broadcast below the session's threshold and shuffled above it
-    right = scratch.cut(before.select(*[F.col(k).alias(f"_r_{k}") for k in keys], "_before"), f"cells-{name}")
-    for k in keys:
-        test = F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-        same = test if same is None else same & test
-    return inside.join(right, same, "left").withColumn(name, F.col("_before") + F.col("_in") - 1).drop("_before", "_in", *[f"_r_{k}" for k in keys])
+    keys = [*order, F.col("_tie")]
+    dealt = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys).drop("_tie")
+    name_, n = f"{name}-{len(scratch.paths)}", 33
+    # partition number above, row within it below; written, so that it is evaluated once
+    placed = scratch.cut(dealt.withColumn("_at", F.monotonically_increasing_id()), f"placed-{name_}")
+    part, row = F.shiftright("_at", n), F.col("_at").bitwiseAND(_ROWS)
+    counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))  # one row for each partition
+    before = F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = scratch.cut(counts.select("_part", F.coalesce(before, F.lit(0)).alias("_start")), f"starts-{name_}")
+    return placed.withColumn("_part", part).join(starts, "_part").withColumn(name, F.col("_start") + row).drop("_part", "_start", "_at")

@@ -1,24 +1,26 @@
 """Line deduplication by pairwise alignment.
 
-Documents that overlap are found through the lines that they share: each line of at least ``least`` characters that
-several documents have names its earliest document (smallest id), and every later one is paired with it, once for
-each such earlier document.  Rare lines decide: of a document's shared lines, those of the lowest counts come first
-and a commoner line adds a pair only where no rarer line of the document leads to the same earlier document.
-Each pair is aligned by patience diff (lines that are unique in both anchor the longest increasing run, extended to
-its neighbours, and recursed between), and aligned common blocks of at least ``block`` lines or ``least`` characters
-are deleted from the later document.
-
-With ``all_holders`` the result is that of alignment with every earlier holder: what the first round leaves is paired
-through runs of lines (see _windows) with the next holder of each run for some rounds, then with all others.
-
-Skew: pairs go from each document to the earliest holder of a line, so a line in a third of all documents makes one
-pair for each, never all pairs of its group (the last round of ``all_holders`` does pair what no round before it could
-delete with all holders that are left); minima and counts are combined before the shuffle, and joins against
-one row per line or document let Spark split the hot side.
-
-Edge cases: a null text has no lines and stays null; blank and short lines never pair documents but are deleted
-inside an aligned block; rows that repeat an id are one document if their texts agree, else the smaller text
-stands for the id in alignments and each row is judged by it; an empty table gives an empty result.
+A document is one distinct (id, text); documents are in order of id, then of the text's digest.  Those that overlap
+are found through shared rare lines: each line of at least ``least`` characters that several documents have names its
+earliest holder, and a document is paired with the holders that its ``RAREST`` rarest shared lines name.  Each pair is
+aligned by patience diff: lines that are unique in both anchor the longest increasing run, extended to its neighbours
+and recursed between; where no line is unique, occurrences of equal lines are counted off against each other.  Lines
+are equal if their 64-bit and 32-bit hashes and their lengths agree.  Aligned common blocks that hold at least
+``least`` characters are deleted from the later document.
+
+The result is that of alignment with every earlier document that shares a run of lines with ``least`` characters: what
+a round leaves is paired through such runs (see _windows; the lines of a run may each be short) with the next holder of
+each run, for ROUNDS rounds, then with all others.
+
+Skew: pairs go from each document to single holders of a line or run, so one that a third of all rows have makes one
+pair for each in a round, never all pairs of its group (the last round does pair what no round before it could delete
+with all holders that are left; of holders that look alike to what is left, one); minima and counts are combined before
+the shuffle, and joins against one row per line or document let Spark split the hot side.
+
+Edge cases: a null text has no lines and stays null; blank and short lines pair documents only as part of a run; equal
+rows are one document and lose the same lines; rows that repeat an id with other texts are documents of their own, in
+order of their digests; null ids come first; an empty table gives an empty result; columns that clash with the result's
+names are replaced.
 """
 
 from __future__ import annotations
@@ -29,11 +31,16 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirework.llm._scratch import Scratch
+from quirework.llm._rank import ranked
+from quirework.sources.scratch import Scratch
 
 LEAST = 20
 #: Rounds that try one more holder of each run that is left, before all others are tried at once.
 ROUNDS = 4
+#: Holders that a document is paired with in the first round, those of its rarest lines.
+RAREST = 4
+#: The lower half of a line's second number is its length, the upper a hash.
+_LENGTH = 0xFFFFFFFF
 
 
 def patience(a: list, b: list) -> list[tuple[int, int]]:
@@ -59,7 +66,7 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
             if a_ := places.get(b[y]):
                 a_[2] += 1
                 a_[3] = y
-        anchors = increasing(sorted((p[1], p[3]) for p in places.values() if p[0] == p[2] == 1))
+        anchors = increasing(sorted((p[1], p[3]) for p in places.values() if p[0] == p[2] == 1)) or counted_off(a, b, i, k, j, n)
         if not anchors:
             continue
         out += anchors
@@ -68,6 +75,15 @@ def patience(a: list, b: list) -> list[tuple[int, int]]:
     return sorted(out)
 
 
+def counted_off(a: list, b: list, i: int, k: int, j: int, n: int) -> list[tuple[int, int]]:
+    """Anchors where no line is unique in both: the first occurrence of a line here with its first there, and so on."""
+    there: dict = {}
+    for y in range(n - 1, j - 1, -1):
+        there.setdefault(b[y], []).append(y)
+    pairs = [(x, there[a[x]].pop()) for x in range(i, k) if there.get(a[x])]
+    return increasing(pairs)
+
+
 def increasing(pairs: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """A longest run of pairs with increasing second members, by patience sorting."""
     from bisect import bisect_left
@@ -107,13 +123,13 @@ def removed(later: list, earlier: list, sizes: list[int], least: int = LEAST) ->
 
 def _aligning(least: int):
     def align(batches) -> Iterator:
-        """(later, earlier, lines and sizes of the later, lines of the earlier) -> (doc, lines to delete)."""
+        """(later, its lines, their second numbers, both of the earlier) -> (doc, lines to delete)."""
         import pyarrow as pa
 
         for batch in batches:
             docs, cut = batch.column(0), []
-            for later, sizes, earlier in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
-                cut.append(removed(later, earlier, sizes, least))
+            for later, sizes, earlier, others in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3, 4))):
+                cut.append(removed(list(zip(later, sizes)), list(zip(earlier, others)), [x & _LENGTH for x in sizes], least))
             yield pa.RecordBatch.from_arrays([docs, pa.array(cut, pa.list_(pa.int32()))], ["doc", "cut"])
 
     return align
@@ -133,7 +149,7 @@ def _windows(least: int, leftover: bool):
         for batch in batches:
             docs, sizes, lines = batch.column(0), batch.column(1), batch.column(2)
             counts = np.diff(sizes.offsets.to_numpy())
-            size, line = sizes.flatten().to_numpy().astype(np.int64), lines.flatten().to_numpy().view(np.uint64)
+            size, line = sizes.flatten().to_numpy() & _LENGTH, lines.flatten().to_numpy().view(np.uint64)
             n = len(size)
             first = np.repeat(np.cumsum(counts) - counts, counts)
             last = first + np.repeat(counts, counts)
@@ -159,51 +175,52 @@ def _windows(least: int, leftover: bool):
     return windows
 
 
-def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least: int = LEAST, all_holders: bool = False) -> DataFrame:
+def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """``docs`` and n_lines, n_removed, kept_text."""
     s = Scratch(docs.sparkSession, "lines")
-    lines = F.split(F.col(text), "\n")
-    own = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("doc"), F.transform(lines, lambda x: F.xxhash64(F.trim(x))).alias("lines"), F.transform(lines, lambda x: F.length(F.trim(x))).alias("sizes"))
-    own = s.cut(own, "hashes")
-    whole = own.groupBy("doc").agg(F.count("*").alias("n"), F.min(F.struct("lines", "sizes")).alias("x"))
-    one = s.cut(whole.select("doc", "x.lines", "x.sizes"), "lines")
+    docs = docs.drop("n_lines", "n_removed", "kept_text")
+    lines, digest = F.split(F.col(text), "\n"), F.unhex(F.md5(F.col(text).cast("binary")))
+    second = lambda x: F.shiftleft(F.hash(x).cast("long"), 32).bitwiseOR(F.length(x).cast("long"))
+    own = docs.where(F.col(text).isNotNull()).select(F.col(doc_id).alias("id"), digest.alias("v"), F.transform(lines, lambda x: F.xxhash64(F.trim(x))).alias("lines"), F.transform(lines, lambda x: second(F.trim(x))).alias("sizes"))
+    placed = ranked(s.cut(own, "hashes").dropDuplicates(["id", "v"]), [F.col("id"), F.col("v")], "doc", s)
+    one = s.cut(placed.select("doc", "lines", "sizes", "id", "v"), "lines")
     s.drop("hashes")
-    each = one.select("doc", F.explode(F.array_distinct(F.filter(F.arrays_zip("lines", "sizes"), lambda x: x["sizes"] >= least)["lines"])).alias("line"))
+    ids, one = one.select("doc", "id", "v"), one.select("doc", "lines", "sizes")
+    each = one.select("doc", F.explode(F.array_distinct(F.filter(F.arrays_zip("lines", "sizes"), lambda x: x["sizes"].bitwiseAND(_LENGTH) >= least)["lines"])).alias("line"))
     firsts = s.cut(each.groupBy("line").agg(F.min("doc").alias("first"), F.count("*").alias("df")).where("df > 1"), "firsts")
     pairs = each.join(firsts, "line").where("doc > first").groupBy("doc", "first").agg(F.min("df").alias("rarest"))
-    pairs = s.cut(pairs.select("doc", "first"), "pairs")
+    rarest = F.slice(F.array_sort(F.collect_list(F.struct("rarest", "first"))), 1, RAREST)  # of one document's lines
+    pairs = s.cut(pairs.groupBy("doc").agg(rarest.alias("p")).select("doc", F.explode("p.first").alias("first")), "pairs")
     s.drop("firsts")
 
     def aligned(pairs: DataFrame) -> DataFrame:
         later = pairs.join(one, "doc")
-        both = later.join(one.select(F.col("doc").alias("first"), F.col("lines").alias("first_lines")), "first").select("doc", "lines", "sizes", "first_lines")
+        both = later.join(one.select(F.col("doc").alias("first"), F.col("lines").alias("first_lines"), F.col("sizes").alias("first_sizes")), "first").select("doc", "lines", "sizes", "first_lines", "first_sizes")
         return both.mapInArrow(_aligning(least), "doc long, cut array<int>").where("size(cut) > 0")
 
     def union(cuts: DataFrame) -> DataFrame:
         return cuts.groupBy("doc").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("cut")))).alias("cut"))
 
-    cuts = union(aligned(pairs))
-    if all_holders:
-        cuts, done, bound = s.cut(cuts, "first_cuts"), pairs, None
-        later = s.cut(pairs.select("doc").distinct().join(one, "doc"), "later")
-        holders = s.cut(_holders(s, one, later, cuts, least), "holders")
-        for k in range(ROUNDS + 1):
-            left = s.cut(_left(later, cuts, least), f"left{k}")
-            if k < ROUNDS:  # the next holder of each run
-                some = holders if bound is None else holders.join(bound, "line").where("first > bound")
-                bound = s.cut(some.groupBy("line").agg(F.min("first").alias("bound")), f"bound{k}")
-                some = bound.withColumnRenamed("bound", "first")
-            else:  # all others
-                some = s.cut(_unlike(one, left, holders), "unlike")
-            more = left.join(some, "line").where("doc > first").select("doc", "first").distinct().join(done, ["doc", "first"], "left_anti")
-            more = s.cut(more, f"further{k}")
-            done = done.unionByName(more)
-            cuts = s.cut(union(cuts.unionByName(aligned(more))), f"cuts{k}")
-    cuts = s.cut(cuts.select(F.col("doc").alias("_doc"), F.col("cut").alias("_cut")), "cuts")
-    out = docs.join(cuts.hint("merge"), F.col(doc_id) == F.col("_doc"), "left")  # shuffled at any size
+    cuts, done, bound = s.cut(union(aligned(pairs)), "first_cuts"), pairs, None
+    holders = s.cut(_holders(s, one, cuts, least), "holders")
+    later = s.cut(one.join(s.cut(_shared_left(s, one, cuts, holders, least), "open"), "doc"), "later")
+    for k in range(ROUNDS + 1):
+        left = s.cut(_left(later, cuts, least), f"left{k}")
+        if k < ROUNDS:  # the next holder of each run
+            some = holders if bound is None else holders.join(bound, "line").where("first > bound")
+            bound = s.cut(some.groupBy("line").agg(F.min("first").alias("bound")), f"bound{k}")
+            some = bound.withColumnRenamed("bound", "first")
+        else:  # all others
+            some = s.cut(_unlike(one, left, holders), "unlike")
+        more = left.join(some, "line").where("doc > first").select("doc", "first").distinct().join(done, ["doc", "first"], "left_anti")
+        more = s.cut(more, f"further{k}")
+        done = done.unionByName(more)
+        cuts = s.cut(union(cuts.unionByName(aligned(more))), f"cuts{k}")
+    cuts = s.cut(cuts.join(ids, "doc").select(F.col("id").alias("_id"), F.col("v").alias("_v"), F.col("cut").alias("_cut")), "cuts")
+    out = docs.join(cuts.hint("merge"), F.col(doc_id).eqNullSafe(F.col("_id")) & (digest == F.col("_v")), "left")  # shuffled at any size
     gone = F.coalesce("_cut", F.array().cast("array<int>"))
     kept = F.array_join(F.filter(lines, lambda x, i: ~F.array_contains(gone, i)), "\n")
-    return out.withColumns({"n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"), "n_removed": F.size(gone).cast("long"), "kept_text": F.when(F.size(gone) == 0, F.col(text)).otherwise(kept)}).drop("_doc", "_cut")
+    return out.withColumns({"n_lines": F.coalesce(F.size(lines), F.lit(0)).cast("long"), "n_removed": F.size(gone).cast("long"), "kept_text": F.when(F.size(gone) == 0, F.col(text)).otherwise(kept)}).drop("_id", "_v", "_cut")
 
 
 def _left(later: DataFrame, cuts: DataFrame, least: int) -> DataFrame:
@@ -212,19 +229,26 @@ def _left(later: DataFrame, cuts: DataFrame, least: int) -> DataFrame:
     return x.mapInArrow(_windows(least, True), "doc long, line long")
 
 
-def _holders(s: Scratch, one: DataFrame, later: DataFrame, cuts: DataFrame, least: int) -> DataFrame:
+def _holders(s: Scratch, one: DataFrame, cuts: DataFrame, least: int) -> DataFrame:
     """(first, line): the documents that hold a run which the cuts leave over in a later one.
 
     A line is in an aligned block with an earlier document only if one of the runs of _windows() that hold the line
     stands in both.  Of documents with equal lines only the earliest is needed.
     """
-    left = s.cut(_left(later, cuts, least), "left")
-    alike = one.groupBy(F.xxhash64("lines").alias("x"), F.hash("lines").alias("y")).agg(F.min("doc").alias("doc"))
+    alike = one.groupBy(F.xxhash64("lines").alias("x"), F.xxhash64("sizes").alias("y")).agg(F.min("doc").alias("doc"))
     holders = one.join(alike.select("doc"), "doc").select("doc", "sizes", "lines").mapInArrow(_windows(least, False), "first long, line long")
+    left = s.cut(_left(one, cuts, least), "left")
     shared = left.groupBy("line").agg(F.max("doc").alias("last"))
     return holders.join(shared, "line").where("first < last").select("first", "line")
 
 
+def _shared_left(s: Scratch, one: DataFrame, cuts: DataFrame, holders: DataFrame, least: int) -> DataFrame:
+    """(doc): documents of which a run that the cuts leave over has an earlier holder."""
+    left = s.spark.read.parquet(s.paths["left"])
+    out = left.join(holders.groupBy("line").agg(F.min("first").alias("first")), "line").where("doc > first").select("doc").distinct()
+    return out
+
+
 def _unlike(one: DataFrame, left: DataFrame, holders: DataFrame) -> DataFrame:
     """Of holders that look alike to all documents with runs left, the earliest.
 
