@@ -36,15 +36,17 @@ FROM documents t LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT node, min(reached)
 
 
 def _shard() -> str:
-    bucket = lambda key, seed, n: f"CAST('0x' || substr(md5('{seed}:' || coalesce(CAST({key} AS VARCHAR), '')), 1, 8) AS BIGINT) % {n}"
-    sql = f"""SELECT doc_id, text, size, least(length(bin(size)) - 1, {(1 << BITS) - 1}) AS _h0, {bucket("lang", "lang", 1 << BITS)} AS _h1, {bucket("source", "source", 1 << BITS)} AS _h2 FROM
-      (SELECT doc_id, lang, source, coalesce(text, '') AS text, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size FROM documents)"""
+    top = 1 << BITS
+    levels = lambda c: f"SELECT {c} AS v, (CASE WHEN count(*) OVER () > {top} THEN ((row_number() OVER (ORDER BY {c} NULLS LAST) - 1) * {top}) // count(*) OVER () ELSE row_number() OVER (ORDER BY {c} NULLS LAST) - 1 END) AS i FROM (SELECT DISTINCT {c} FROM documents)"
+    sql = f"""SELECT doc_id, text, size, length(bin(size)) - 1 AS _h0, x.i AS _h1, y.i AS _h2 FROM
+      (SELECT doc_id, lang, source, coalesce(text, '') AS text, CAST(octet_length(encode(coalesce(text, ''))) + 1 AS BIGINT) AS size FROM documents) d
+      JOIN ({levels("lang")}) x ON x.v IS NOT DISTINCT FROM lang JOIN ({levels("source")}) y ON y.v IS NOT DISTINCT FROM source"""
     for step in curve_steps():
         sql = f"SELECT * REPLACE ({', '.join(f'{v} AS {k}' for k, v in step.items())}) FROM ({sql})" if "hilbert" not in step else f"SELECT *, {step['hilbert']} AS hilbert FROM ({sql})"
     return f"""
-WITH n AS (SELECT count(*) AS n, greatest(8, CAST(ceil(count(*) / 2000000.0) AS BIGINT)) AS buckets FROM documents),
+WITH n AS (SELECT count(*) AS n FROM documents),
 h AS ({sql}),
-r AS (SELECT h.*, n.n, row_number() OVER (ORDER BY hilbert, {bucket("doc_id", "shard", "buckets")}, doc_id, size) - 1 AS rank FROM h, n),
+r AS (SELECT h.*, n.n, row_number() OVER (ORDER BY hilbert, CAST('0x' || substr(md5('shard:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT), doc_id NULLS FIRST, size) - 1 AS rank FROM h, n),
 s AS (SELECT *, ((rank + 1) * 8 - 1) // n AS shard FROM r),
 c AS (SELECT doc_id, list_reduce(list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: CAST('0x' || h AS BIGINT)),
   lambda c, v: list_reduce([0, 0, 0, 0, 0, 0, 0, 0], lambda d, k: xor(d >> 1, 3988292384 * (d & 1)), xor(c, v)), 4294967295) AS crc FROM s)
