@@ -1,8 +1,9 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
-Labels come per document, so tokens are labelled at a distance: features (words and their beginnings; a word counts
-by its most telling one) are taken that toxic documents hold much more often than clean ones, and that they hold in many surroundings (this leaves out words that copies of one toxic
-document share).  Those words in toxic documents are labelled 1, all else 0, and a two-state chain (word weights, one
+Labels come per document, so tokens are labelled at a distance: all features (words and their beginnings; a word
+counts by its most telling one) are taken that toxic documents hold significantly more often than clean ones, where a
+feature counts once for each pair of neighbours that it stands between and each text once, so that copies of a toxic
+document neither make a feature nor hide one.  Those words in toxic documents are labelled 1, all else 0, and a two-state chain (word weights, one
 weight for all other words, transitions, start) is trained on windows around them in both kinds of documents and on
 windows elsewhere, by gradient steps on the conditional likelihood.
 
@@ -11,8 +12,9 @@ all act alike, so a stretch of g of them is one power of a 2x2 matrix and only w
 document's evidence is -log prod(1 - m) over its marginals m, its score the logistic curve fitted to the evidence of
 the training rows; words with a marginal of ``at`` or more are its offending spans (byte ranges in the UTF-8 text).
 
-Fitting takes at most about ``training_rows`` labelled rows, those with the smallest digests of id; scoring covers
-every row, each within one task.  Only the weights (at most ``features`` words) are broadcast.
+Fitting takes at most about ``training_rows`` labelled rows and ``training_bytes`` of text, those with the smallest
+digests of id; the features, whatever their number, come from that sample.  Scoring covers every row, each within one
+task.  Only the weights are broadcast.
 
 Edge cases: null, empty and wordless texts score as texts without evidence do; without toxic or clean training rows
 every score is next to 0;
@@ -30,12 +32,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quirework.llm import _text as tx
-from quirework.llm._scratch import Scratch
+from quirework.sources.scratch import Scratch
 
 TRAINING_ROWS = 12000
-FEATURES = 400
-MOST, AT, CUT = 5.0, 0.5, 0.7
+TRAINING_BYTES = 64 << 20
+AT, CUT = 0.5, 0.7
 RADIUS = 3
+#: How much more often a feature stands in toxic texts, and the log of the odds against chance that it takes.
+LIFT, GAIN = 5.0, 12.0
 
 
 #: Byte lengths of word beginnings that are features beside the whole word (0).
@@ -111,11 +115,11 @@ class Field:
         return out
 
     def evidence(self, at: np.ndarray, which: np.ndarray, total: int) -> tuple[float, np.ndarray]:
-        """-log prod(1 - m), each word counting up to MOST, and the marginals."""
+        """-log prod(1 - m) and the marginals m."""
         if not len(at):
             return 0.0, np.zeros(0)
         m = self.marginals(at, which, total)
-        return float(np.minimum(-np.log(np.maximum(1 - m, 1e-12)), MOST).sum()), m
+        return float(-np.log(np.maximum(1 - m, 1e-12)).sum()), m
 
     def score(self, evidence: float) -> float:
         return float(1 / (1 + np.exp(-(self.slope * evidence + self.level))))
@@ -131,24 +135,24 @@ def calibrated(x: np.ndarray, y: np.ndarray, steps: int = 60) -> tuple[float, fl
     return float(w[0]), float(w[1])
 
 
-def offending(docs: list[tuple[int, list[int], list[int]]], least: int, ratio: float = 5.0, variety: float = 0.5, gain: float = 12.0) -> list[int]:
-    """Words that stand out in toxic documents, in many surroundings.  docs: (label, words, hash of both neighbours).
+def offending(docs: list[tuple[int, list[int], list[int]]]) -> list[int]:
+    """Words that stand out in toxic documents by their surroundings.  docs: (label, words, hash of both neighbours).
 
-    Words that only copies of some toxic document share stand out as well, but always between the same neighbours.
+    A word counts once for each document and once for each pair of neighbours, whichever is less, so words that only
+    copies of some toxic document share, always between the same neighbours, hardly count.
     """
-    n, held, around, times = [0, 0], [{}, {}], {}, {}
+    n, held, around = [0, 0], [{}, {}], [{}, {}]
     for label, words, sides in docs:
         n[label] += 1
         for w in set(words):
             held[label][w] = held[label].get(w, 0) + 1
         for w, side in zip(words, sides):
-            around.setdefault(w, set()).add(side)
-            times[w] = times.get(w, 0) + 1
+            around[label].setdefault(w, set()).add(side)
     out = []
-    for w, k in held[1].items():
+    for w, docs_ in held[1].items():
+        k = min(docs_, len(around[1][w]))
         lift = (k / n[1]) / ((held[0].get(w, 0) + 0.5) / (n[0] + 1))
-        # k * log(lift) is about the log of the odds against chance; very many features are looked at
-        if k >= least and lift >= ratio and k * np.log(lift) >= gain and len(around[w]) >= max(least, variety * times[w]):
+        if lift >= LIFT and k * np.log(lift) >= GAIN:  # k * log(lift) is about the log of the odds against chance
             out.append(w)
     return sorted(out)
 
@@ -237,25 +241,25 @@ def _placing(keys: np.ndarray, rank: np.ndarray):
     return place
 
 
-def fit(labelled: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", training_rows: int = TRAINING_ROWS, features: int = FEATURES) -> Field:
+def fit(labelled: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", training_rows: int = TRAINING_ROWS, training_bytes: int = TRAINING_BYTES) -> Field:
     """Train on rows (doc_id, text, label 0/1)."""
     rows = labelled.select(F.col(doc_id).alias("i"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where("label in (0, 1) and text is not null")
-    n = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
-    if len(n) < 2:
-        return Field()
-    share = min(1.0, training_rows / sum(n.values()))
-    held = {y: share * m for y, m in n.items()}
+    many, size = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    share = min(1.0, training_rows / max(many, 1), training_bytes / max(size or 0, 1))
     place = F.conv(F.substring(F.md5(F.concat(F.lit("toxic:"), F.coalesce(F.col("i").cast("string"), F.lit(""))).cast("binary")), 1, 8), 16, 10).cast("double") / float(1 << 32)
     rows = rows.where(place < share)
-    rows = Scratch(rows.sparkSession, "toxic").cut(rows.select("label", "text"), "sample")
+    rows = Scratch(rows.sparkSession, "toxic").cut(rows.select("label", "text").distinct(), "sample")
+    held = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    if len(held) < 2:
+        return Field()
     sums = rows.mapInArrow(_document_features, "label int, feature long, n long").groupBy("feature").agg(F.sum(F.expr("if(label = 1, n, 0)")).alias("bad"), F.sum(F.expr("if(label = 0, n, 0)")).alias("good"))
-    lift = F.log((F.col("bad") / held[1]) / ((F.col("good") + 0.5) / (held[0] + 1)))
-    best = sums.where("bad >= 3").withColumn("gain", F.col("bad") * lift).orderBy(F.desc("gain"), "feature").limit(features)
-    hashes = np.array([r["feature"] for r in best.collect()], np.int64).view(np.uint64)
+    sums = sums.withColumn("lift", (F.col("bad") / held[1]) / ((F.col("good") + 0.5) / (held[0] + 1)))
+    best = sums.where((F.col("lift") >= LIFT) & (F.col("bad") * F.log("lift") >= GAIN)).orderBy(F.desc(F.col("bad") * F.log("lift")), "feature")
+    hashes = np.array([r["feature"] for r in best.select("feature").collect()], np.int64).view(np.uint64)  # of the sample
     order = np.argsort(hashes)
     keys, rank = hashes[order], order + 1
     found = _placed(rows, keys, rank)
-    bad = np.array(offending([(f[0], f[3], f[4]) for f in found], max(3, int(held[1]) // 200)), np.int64)
+    bad = np.array(offending([(f[0], f[3], f[4]) for f in found]), np.int64)
     if not len(bad):
         return Field()
     keep = np.isin(rank, bad)
