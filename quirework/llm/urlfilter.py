@@ -1,31 +1,36 @@
 """URL filter: rules first, then a tree of path templates for each host.  DataFrame functions only.
 
 Templates.  A path is cut into segments; segments that vary by nature (digits, hexadecimal runs, long tokens; an
-extension is kept) become a wildcard.  Then, level by level, a node of a host with more than ``branches`` children
-has its variable ones (each less than ``share`` of the node) folded into one wildcard, and sibling branches are
-merged when their smoothed label rates differ by no more than ``similar`` and both lead to the same shapes.
+extension is kept) become a wildcard.  Then, level by level, a node's rare children (less than ``share`` of the node)
+whose label rate doesn't differ from the node's become one wildcard, and of the others those siblings are merged that
+lead to the same shapes and, in order of their rates, don't differ from their neighbour.  Two rates differ if a
+two-proportion test says so at ``Z`` standard errors, so one observation never counts like a thousand.  A branch is
+followed as long as two shapes share it.
 
-Labels.  The rules' verdicts label the urls that they fit; a template's purity is (block + prior * strength) /
-(labelled + strength), with prior one half, so that a template without labels stays at one half.  Templates
-of which the purity exceeds ``reject`` are blocked, and with them the urls that no rule fits.
+Labels.  The rules' verdicts label the urls that they fit.  A template's purity is smoothed upward: (block + strength *
+prior) / (labelled + strength), where its prior is that of its shapes among related hosts (those of the same last two
+host labels), whose prior is that of the shape on any host, whose prior is one half.  So labelled branches speak for
+equal paths of hosts that no rule covers.  Templates of which the purity exceeds ``reject`` are blocked, and with them
+the urls that no rule fits.
 
-Skew: url rows are reduced to counts by (host, template) with map-side sums before anything meets; nodes have at
-most ``branches`` + 1 children after folding; the join back is on (host, shape) against one row each.
+Skew: url rows are reduced to counts by (host, shape) with map-side sums before anything meets; a node keeps at most
+1 / ``share`` children and those that the labels set apart; the join back is on (host, shape) against one row each.
 
 Edge cases: a null url, or one without "://", has an empty host and path and takes no rule; repeated urls are judged
-alike; columns that clash with the result's names are replaced; paths deeper than ``depth`` share one wildcard for what lies below; an empty table gives no rows.
+alike; columns that clash with the result's names are replaced; a path of any depth or length is one branch of its own
+from where no other shares it; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quirework.llm._scratch import Scratch
+from quirework.sources.scratch import Scratch
 
 #: (host, path, verdict): a rule fits its host and all subdomains where the path starts with the rule's.
 RULES = (("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"))
-DEPTH, BRANCHES, SHARE, SIMILAR, STRENGTH, REJECT = 6, 20, 0.05, 0.1, 2.0, 0.7
+SHARE, Z, STRENGTH, REJECT = 0.05, 1.96, 2.0, 0.7
 
 
 def parts(url: Column) -> tuple[Column, Column]:
@@ -48,54 +53,92 @@ def rule_of(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def shape(path: Column, depth: int = DEPTH) -> Column:
-    """Segments with those that vary by nature as wildcards; at most ``depth`` and one for what lies below."""
+def shape(path: Column) -> Column:
+    """Segments, those that vary by nature as wildcards."""
     segments = F.slice(F.split(path, "/"), 2, 1 << 30)
-    plain = F.transform(
+    return F.transform(
         segments,
         lambda s: F.when(s == "", F.lit("")).otherwise(F.regexp_replace(s, r"^(?:[0-9]+|[0-9a-fA-F-]{8,}|[^.]*[0-9][^.]*|[^.]{25,})(?=\.[A-Za-z]{1,5}$|$)", "*")),
     )
-    return F.when(F.size(plain) > depth, F.concat(F.slice(plain, 1, depth), F.array(F.lit("**")))).otherwise(plain)
 
 
-def smoothed(block: Column, labelled: Column, strength: float = STRENGTH) -> Column:
-    return (block + 0.5 * strength) / (labelled + strength)
+def smoothed(block: Column, labelled: Column, prior: Column, strength: float = STRENGTH) -> Column:
+    return (block + prior * strength) / (labelled + strength)
 
 
-def tree(counts: DataFrame, scratch: Scratch, branches: int = BRANCHES, share: float = SHARE, similar: float = SIMILAR) -> DataFrame:
+def differ(b: Column, n: Column, c: Column, m: Column, z: float = Z) -> Column:
+    """Whether the proportions b / n and c / m are apart by a two-proportion test; without observations they aren't."""
+    pooled, one = F.try_divide(b + c, n + m), F.lit(1.0)
+    error = F.sqrt(pooled * (1 - pooled) * (F.try_divide(one, n) + F.try_divide(one, m)))
+    return F.coalesce(F.abs(F.try_divide(b, n) - F.try_divide(c, m)) > z * error, F.lit(False))
+
+
+def tree(counts: DataFrame, scratch: Scratch, share: float = SHARE) -> DataFrame:
     """(host, shape, n, labelled, block) -> the same rows with ``template``, the merged path of their branch."""
-    df = counts.withColumn("template", F.lit(""))
-    levels = counts.agg(F.max(F.size("shape"))).first()[0] or 0
-    for level in range(levels):
-        seg = F.try_element_at("shape", F.lit(level + 1))
-        df = df.withColumn("_seg", seg)
-        below = F.array_join(F.transform(F.slice("shape", level + 2, levels + 1), lambda s: F.when(s.contains("*"), s).otherwise("x")), "/")
-        node = df.where("_seg is not null").groupBy("host", "template", "_seg").agg(F.sum("n").alias("_n"), F.sum("labelled").alias("_l"), F.sum("block").alias("_b"), F.array_join(F.array_sort(F.collect_set(below)), "|").alias("_below"))
-        total = node.groupBy("host", "template").agg(F.sum("_n").alias("_all"), F.count("*").alias("_many"))
-        node = node.join(total, ["host", "template"])
-        folded = F.when((F.col("_many") > branches) & (F.col("_n") < share * F.col("_all")) & (F.col("_seg") != ""), F.lit("*")).otherwise(F.col("_seg"))
-        # branches whose smoothed rates fall into one band of width ``similar`` and that lead to the same shapes
-        node = node.withColumns({"_fold": folded, "_band": F.floor(smoothed(F.col("_b"), F.col("_l")) / similar)})
-        alike = node.groupBy("host", "template", "_band", "_below").agg(F.countDistinct("_fold").alias("_k"), F.min("_fold").alias("_one"), F.max(F.col("_fold") == "").alias("_end"))
-        node = node.join(alike, ["host", "template", "_band", "_below"])
-        name = F.when((F.col("_k") > 1) & ~F.col("_end"), F.concat(F.lit("{"), F.col("_band").cast("string"), F.lit(":"), F.col("_one"), F.lit("~}"))).otherwise(F.col("_fold"))
-        node = node.select("host", "template", "_seg", name.alias("_name"))
-        df = df.join(node, ["host", "template", "_seg"], "left").withColumn("template", F.when(F.col("_seg").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), F.coalesce("_name", F.col("_seg"))))).drop("_seg", "_name")
-        df = scratch.cut(df, f"level-{level}")
-    return df
-
-
-def judge(pages: DataFrame, *, url: str = "url", rules=RULES, reject: float = REJECT, depth: int = DEPTH) -> DataFrame:
+    df = counts.withColumns({"template": F.lit(""), "_at": F.lit(0)})
+    node, level, done = ["host", "template"], 0, None
+    while True:
+        # a node with one shape is a branch of its own: what is left of it names it
+        alone = df.groupBy(*node).agg(F.count("*").alias("_shapes"))
+        df = scratch.cut(df.join(alone, node), f"level-{level}")
+        left = F.slice("shape", F.col("_at") + 1, F.greatest(F.size("shape") - F.col("_at"), F.lit(0)))
+        ended = (F.col("_shapes") == 1) | (F.col("_at") >= F.size("shape"))
+        rest = df.where(ended).withColumn("template", F.concat("template", F.array_join(F.transform(left, lambda s: F.concat(F.lit("/"), s)), "")))
+        done = rest.drop("_shapes", "_at") if done is None else done.unionByName(rest.drop("_shapes", "_at"))
+        df = df.where(~ended).drop("_shapes")
+        if df.isEmpty():
+            return done
+        df = df.withColumn("_seg", F.element_at("shape", F.col("_at") + 1))
+        below = F.array_join(F.transform(F.slice("shape", F.col("_at") + 2, F.size("shape")), lambda s: F.when(s.contains("*"), s).otherwise("x")), "/")
+        child = df.groupBy(*node, "_seg").agg(F.sum("n").alias("_n"), F.sum("labelled").alias("_l"), F.sum("block").alias("_b"), F.array_join(F.array_sort(F.collect_set(below)), "|").alias("_below"))
+        child = scratch.cut(child, f"children-{level}")
+        total = child.groupBy(*node).agg(F.sum("_n").alias("_all"), F.sum("_l").alias("_all_l"), F.sum("_b").alias("_all_b"))
+        child = child.join(total, node)
+        others = differ(F.col("_b"), F.col("_l"), F.col("_all_b") - F.col("_b"), F.col("_all_l") - F.col("_l"))
+        rare = (F.col("_n") < share * F.col("_all")) & (F.col("_seg") != "") & ~others
+        child = scratch.cut(child.withColumn("_fold", F.when(rare, F.lit("*")).otherwise(F.col("_seg"))), f"folded-{level}")
+        kept = child.groupBy(*node, "_fold").agg(F.sum("_l").alias("_l"), F.sum("_b").alias("_b"), F.max("_below").alias("_below"))
+        # siblings in order of their rates: a new name begins where one differs from the one before it
+        # those without labels are among themselves
+        kept = kept.withColumn("_told", F.col("_l") > 0)
+        order = Window.partitionBy(*node, "_below", "_told").orderBy(F.coalesce(F.try_divide("_b", "_l"), F.lit(0.5)), "_fold")
+        apart = differ(F.col("_b"), F.col("_l"), F.lag("_b").over(order), F.lag("_l").over(order)) | (F.col("_fold") == "") | (F.lag("_fold").over(order) == "")
+        kept = kept.withColumn("_new", F.coalesce(apart, F.lit(False)).cast("int")).withColumn("_run", F.sum("_new").over(order))
+        run = Window.partitionBy(*node, "_below", "_told", "_run")
+        kept = kept.withColumns({"_many": F.count("*").over(run), "_one": F.min("_fold").over(run)})
+        name = F.when(F.col("_many") > 1, F.concat(F.lit("{"), F.col("_one"), F.lit("~}"))).otherwise(F.col("_fold"))
+        names = child.select(*node, "_seg", "_fold").join(kept.select(*node, "_fold", name.alias("_name")), [*node, "_fold"]).drop("_fold")
+        names = scratch.cut(names, f"names-{level}")
+        df = df.join(names, [*node, "_seg"]).withColumns({"template": F.concat("template", F.lit("/"), "_name"), "_at": F.col("_at") + 1}).drop("_seg", "_name")
+        level += 1
+
+
+def purities(placed: DataFrame, strength: float = STRENGTH) -> DataFrame:
+    """(host, template, purity) by the labels of the template, of its shapes on related hosts, and on any host."""
+    labels = placed.withColumns({"family": family(F.col("host")), "path": F.array_join("shape", "/")})
+    sums = [F.sum("block").alias("_b"), F.sum("labelled").alias("_l")]
+    any_ = labels.groupBy("path").agg(*sums).select("path", smoothed(F.col("_b"), F.col("_l"), F.lit(0.5), strength).alias("_any"))
+    related = labels.groupBy("family", "path").agg(*sums).join(any_, "path").select("family", "path", smoothed(F.col("_b"), F.col("_l"), F.col("_any"), strength).alias("_related"))
+    own = labels.join(related, ["family", "path"]).groupBy("host", "template").agg(*sums, (F.sum(F.col("_related") * F.col("n")) / F.sum("n")).alias("_prior"))
+    return own.select("host", "template", smoothed(F.col("_b"), F.col("_l"), F.col("_prior"), strength).alias("purity"))
+
+
+def family(host: Column) -> Column:
+    """The last two labels of a host."""
+    return F.substring_index(host, ".", -2)
+
+
+def judge(pages: DataFrame, *, url: str = "url", rules=RULES, reject: float = REJECT) -> DataFrame:
     """``pages`` and host, path, rule, template, purity, verdict (allow or block)."""
     s = Scratch(pages.sparkSession, "urls")
     host, path = parts(F.col(url))
     rows = pages.drop("template", "purity", "rule", "verdict").withColumns({"host": host, "path": path})
     rule, label = rule_of(F.col("host"), F.col("path"), rules)
-    rows = rows.withColumns({"rule": rule, "_label": label, "_shape": shape(F.col("path"), depth)})
+    rows = rows.withColumns({"rule": rule, "_label": label, "_shape": shape(F.col("path"))})
     counts = rows.groupBy("host", F.col("_shape").alias("shape")).agg(F.count("*").alias("n"), F.count("_label").alias("labelled"), F.sum(F.when(F.col("_label") == "block", 1).otherwise(0)).alias("block"))
-    placed = tree(s.cut(counts, "counts"), s)
-    purity = placed.groupBy("host", "template").agg(smoothed(F.sum("block"), F.sum("labelled")).alias("purity"))
-    templates = s.cut(placed.select("host", F.col("shape").alias("_shape"), "template").join(purity, ["host", "template"]), "templates")
+    placed = s.cut(tree(s.cut(counts, "counts"), s), "placed")
+    templates = placed.select("host", F.col("shape").alias("_shape"), "template").join(purities(placed), ["host", "template"])
+    templates = s.cut(templates, "templates")
     out = rows.join(templates, ["host", "_shape"], "left")
     verdict = F.coalesce("_label", F.when(F.col("purity") > reject, "block").otherwise("allow"))
     return out.withColumn("verdict", verdict).drop("_label", "_shape")
