@@ -1,38 +1,43 @@
-"""WARC records in ZIP packages: writing them, and reading records by range without extraction.
+"""WARC records in ZIP archives: writing them, and reading records by range without extraction.
 
-A package is a ZIP archive of stored members: ``archive/data.warc`` and ``indexes/index.cdxj``, whose lines give
-each record's offset and length inside the WARC member.  The reader asks for byte ranges only, through any
-``read_at(offset, length)``: it finds the end record, follows the ZIP64 locator where sizes or offsets overflow,
-parses the central directory, checks the local headers of stored members, reads the index and then single records.
+An archive is a .zip file in the shared folder with stored members: ``archive/data.warc`` and ``indexes/index.cdxj``,
+whose lines give each record's offset and length inside the WARC member.  Records are streamed into it.  The reader
+asks the file system for byte ranges only: it finds the end record, follows the ZIP64 locator where sizes or offsets
+overflow, parses the central directory, checks the local headers of stored members, reads the index and then single
+records, neighbouring ones of up to ``AHEAD`` bytes in one request.
 
 Records with equal payloads of at least ``least`` bytes are one response, that with the smallest page id, and
 revisits that refer to it; smaller payloads are all responses.
 
 Skew: payload digests are grouped with map-side minima; the joined side is one row per digest and is either small
-enough to broadcast or shuffled with skewed digests split.  A package holds about ``package_bytes``, so memory
-per task is bounded by that and the longest page.
+enough to broadcast or shuffled with skewed digests split.  An archive takes about ``archive_bytes``; a task holds one
+record and one index while it writes, and AHEAD bytes and one record while it reads.  Files are named by random ids and
+listed by the rows of the tasks that end well, so a task that runs twice leaves a file that nobody reads.
 
 Edge cases: a null html is an empty payload, a null url an empty one; rows that repeat the smallest id of their
 payload are all responses; null ids are never referred to, and a payload that only rows without an id have is a
-response each time; an empty table gives no packages and no rows.
+response each time; ids are integers (others raise at the cast); other columns are ignored, whatever their names; an
+empty table gives no archives and no rows.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
-import io
 import json
+import re
 import struct
+import uuid
 import zipfile
 from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quirework.llm._scratch import Scratch
+from quirework.sources.scratch import Scratch
 
-PACKAGE_BYTES = 1 << 20
+ARCHIVE_BYTES = 32 << 20
+AHEAD = 1 << 20
 LEAST = 0
 DATA, INDEX = "archive/data.warc", "indexes/index.cdxj"
 READ = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -54,18 +59,43 @@ def record(page_id: int | None, url: str, payload: bytes, refers_to: int | None)
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def package(records: list[tuple[str, bytes]], zip64: bool = False) -> bytes:
-    """(key, record) pairs as a ZIP archive of stored members."""
-    lines, at, out = [], 0, io.BytesIO()
-    for key, r in records:
-        lines.append(f"{key} " + json.dumps({"offset": at, "length": len(r)}))
-        at += len(r)
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_STORED) as z:
-        for name, body in ((DATA, b"".join(r for _, r in records)), (INDEX, "\n".join(lines).encode())):
-            info = zipfile.ZipInfo(name, (1980, 1, 1, 0, 0, 0))
-            with z.open(info, "w", force_zip64=zip64) as f:
-                f.write(body)
-    return out.getvalue()
+class Archive:
+    """Streams records into a ZIP archive of stored members; the data member has 64-bit sizes from the start."""
+
+    def __init__(self, out):
+        self.zip, self.lines, self.at = zipfile.ZipFile(out, "w", zipfile.ZIP_STORED), [], 0
+        self.data = self.zip.open(zipfile.ZipInfo(DATA, (1980, 1, 1, 0, 0, 0)), "w", force_zip64=True)
+
+    def add(self, key: str, raw: bytes) -> None:
+        self.lines.append(f"{key} " + json.dumps({"offset": self.at, "length": len(raw)}))
+        self.data.write(raw)
+        self.at += len(raw)
+
+    def close(self) -> None:
+        self.data.close()
+        self.zip.writestr(zipfile.ZipInfo(INDEX, (1980, 1, 1, 0, 0, 0)), "\n".join(self.lines))
+        self.zip.close()
+
+
+def file_system(path: str):
+    """(file system, path in it) of a URI or an absolute path."""
+    from pyarrow import fs
+
+    return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
+
+
+def ahead(read_at: Callable[[int, int], bytes], size: int, block: int = AHEAD) -> Callable[[int, int], bytes]:
+    """Answers small reads from the last ``block`` bytes asked for."""
+    held = (0, b"")
+
+    def read(at: int, n: int) -> bytes:
+        nonlocal held
+        first, data = held
+        if at < first or at + n > first + len(data):
+            held = first, data = at, read_at(at, max(n, min(block, size - at)))
+        return data[at - first : at - first + n]
+
+    return read
 
 
 def directory(read_at: Callable[[int, int], bytes], size: int) -> dict[str, tuple[int, int]]:
@@ -100,7 +130,7 @@ def directory(read_at: Callable[[int, int], bytes], size: int) -> dict[str, tupl
                 packed = values.pop(0) if packed == 0xFFFFFFFF else packed
                 local = values.pop(0) if local == 0xFFFFFFFF else local
             extra = extra[4 + own :]
-        if method == 0 and packed == full and not flags & 1:
+        if method == 0 and packed == full and not flags & 1:  # sizes may follow the data, those here hold
             head = read_at(local, 30)
             if head[:4] != b"PK\x03\x04":
                 raise ValueError("broken local header")
@@ -124,10 +154,11 @@ def parse(raw: bytes) -> tuple[dict[str, str], bytes]:
 
 
 def records(read_at: Callable[[int, int], bytes], size: int) -> Iterator[tuple]:
-    """Rows of READ from one package."""
+    """Rows of READ from one archive."""
     members = directory(read_at, size)
     (data, _), (index, length) = members[DATA], members[INDEX]
-    for line in read_at(index, length).decode().split("\n") if length else ():
+    listing = read_at(index, length).decode() if length else ""
+    for line in listing.split("\n") if listing else ():
         where = json.loads(line.partition(" ")[2])
         fields, block = parse(read_at(data + where["offset"], where["length"]))
         http, _, payload = block.partition(b"\r\n\r\n")
@@ -139,55 +170,74 @@ def records(read_at: Callable[[int, int], bytes], size: int) -> Iterator[tuple]:
         yield int(page) if page else None, fields["warc-target-uri"], payload if kind == "response" else None, n, digest, kind, int(to) if to else None
 
 
-def _writing(package_bytes: int):
+def _writing(folder: str, archive_bytes: int):
     def write(batches) -> Iterator:
         import pyarrow as pa
 
-        def packed():
-            return pa.RecordBatch.from_arrays([pa.array([package(held)], pa.binary())], ["package"])
+        fs, top = file_system(folder)
+        fs.create_dir(top, recursive=True)
+        archive = out = name = None
+
+        def ended():
+            archive.close()
+            out.close()
+            return pa.RecordBatch.from_arrays([pa.array([f"{folder}/{name}"])], ["path"])
 
-        held, size = [], 0
         for batch in batches:
-            for page_id, url, html, to in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                r = record(page_id, url or "", (html or "").encode(), to)
-                held.append((str(page_id), r))
-                size += len(r)
-                if size >= package_bytes:
-                    yield packed()
-                    held, size = [], 0
-        if held:
-            yield packed()
+            for i in range(batch.num_rows):
+                page_id, url, html, to = (batch.column(c)[i].as_py() for c in range(4))
+                if archive is None:
+                    name = f"{uuid.uuid4().hex}.zip"
+                    out = fs.open_output_stream(f"{top}/{name}")
+                    archive = Archive(out)
+                archive.add(str(page_id), record(page_id, url or "", (html or "").encode(), to))
+                if archive.at >= archive_bytes:
+                    yield ended()
+                    archive = None
+        if archive is not None:
+            yield ended()
 
     return write
 
 
-def _reading(with_payload: bool):
+def _reading(with_payload: bool, rows_at_once: int = 256):
     def read(batches) -> Iterator:
         import pyarrow as pa
 
         kinds = [pa.int64(), pa.string(), pa.binary(), pa.int64(), pa.string(), pa.string(), pa.int64()]
         names = [x.split()[0] for x in READ.split(", ")]
+
+        def batch_of(rows: list[tuple]):
+            return pa.RecordBatch.from_arrays([pa.array(c if with_payload or i != 2 else [None] * len(rows), k) for i, (c, k) in enumerate(zip(map(list, zip(*rows)), kinds))], names)
+
         for batch in batches:
-            for blob in batch.column(0):
-                raw = blob.as_buffer()
-                rows = list(records(lambda at, n: raw[at : at + n].to_pybytes(), raw.size))
-                cols = list(zip(*rows)) if rows else [()] * 7
-                yield pa.RecordBatch.from_arrays([pa.array(list(c) if with_payload or i != 2 else [None] * len(rows), k) for i, (c, k) in enumerate(zip(cols, kinds))], names)
+            for path in batch.column(0).to_pylist():
+                fs, inside = file_system(path)
+                with fs.open_input_file(inside) as f:
+                    size, held = f.size(), []
+                    for row in records(ahead(lambda at, n: f.read_at(n, at), size), size):
+                        held.append(row)
+                        if len(held) == rows_at_once:
+                            yield batch_of(held)
+                            held = []
+                    if held:
+                        yield batch_of(held)
 
     return read
 
 
-def written(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
-    """A table of packages, one row each, in the shared folder."""
+def written(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", html: str = "html", least: int = LEAST, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """(path) of the archives that hold these pages, in the shared folder."""
     s = Scratch(pages.sparkSession, "warc")
     rows = pages.select(F.col(page_id).cast("long").alias("page_id"), F.col(url).alias("url"), F.coalesce(html, F.lit("")).alias("html"))
     digest = F.when(F.octet_length("html") >= least, F.unhex(F.sha1("html")))
     rows = rows.withColumn("digest", digest)
     firsts = s.cut(rows.select("page_id", "digest").where("digest is not null and page_id is not null").groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1").select("digest", "first"), "firsts")
     rows = rows.join(firsts, "digest", "left").select("page_id", "url", "html", F.when(F.coalesce(F.col("page_id") != F.col("first"), F.col("first").isNotNull()), F.col("first")).alias("refers_to"))
-    return s.cut(rows.mapInArrow(_writing(package_bytes), "package binary"), "packages", **{"parquet.block.size": 16 << 20, "parquet.page.size.row.check.min": 1})
+    return s.cut(rows.mapInArrow(_writing(f"{s.top}/archives", archive_bytes), "path string"), "listing")
 
 
-def read(packages: DataFrame, with_payload: bool = True) -> DataFrame:
-    """Records of a table of packages (column ``package``, such as ``content`` of the binaryFile source renamed)."""
-    return packages.select("package").mapInArrow(_reading(with_payload), READ)
+def read(archives: DataFrame, with_payload: bool = True) -> DataFrame:
+    """Records of the archives at these paths (column ``path``), each read by range in one task."""
+    paths = archives.select("path")
+    return paths.repartition(F.col("path")).mapInArrow(_reading(with_payload), READ)
