@@ -7,8 +7,10 @@ shingle's offset in the window gives the only possible start (positional bound),
 whole window inside the document (length bound); what is left is compared word for word.
 
 Skew: a document is read, probed and judged within one task and nothing is shuffled, so frequent passages and
-copies cost as much as any other row.  The benchmark goes out in blocks of at most ``block_bytes`` of text
-(4 MB), so what is broadcast has a bound; a larger benchmark takes more blocks, one after another.
+copies cost as much as any other row.  The benchmark goes out in blocks of about ``block_bytes`` of text (4 MB), each
+broadcast by itself; every Arrow batch of documents is held against one block after another, of which a task has one in
+memory.  So documents are read twice whatever the benchmark's size, and no worker holds all of it.  Items longer than a
+quarter of a block go out in pieces that overlap by a window less one word.
 
 Edge cases: a null or wordless text has no words, no hits and is clean; a null or wordless item occurs nowhere;
 repeated rows are judged one by one; equal item ids count once; of columns that clash with the result's names,
@@ -17,6 +19,7 @@ the result's replace the input's.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,11 +28,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quirework.llm import _text as tx
-from quirework.llm._scratch import Scratch
+from quirework.sources.scratch import Scratch
 
 WINDOW = 10
 SHINGLE = 3
 BLOCK_BYTES = 4 << 20
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 
 _SPAN = T.ArrayType(T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("stop", T.IntegerType())]))
 RESULT = T.StructType([T.StructField("n_words", T.LongType()), T.StructField("spans", _SPAN), T.StructField("items", T.ArrayType(T.StringType()))])
@@ -96,74 +100,110 @@ def found(keys: np.ndarray, held: np.ndarray, probe: np.ndarray) -> tuple[np.nda
     return at[same], key[same]
 
 
-def _counting(block):
+def each_block(blocks: list) -> Iterator[tuple[int, Block]]:
+    """One block after another; of several, only the current one stays in the worker's memory."""
+    for i, shared in enumerate(blocks):
+        yield i, shared.value
+        if len(blocks) > 1:
+            vars(shared).pop("_value", None)  # read again from the executor's disk at the next batch
+
+
+def _counting(blocks: list):
     def count(batches) -> Iterator:
         import pyarrow as pa
 
-        b = block.value
-        held = {k: sieve(v) for k, v in b.shingles.items()}
-        sums = {k: np.zeros(len(v), np.int64) for k, v in b.shingles.items()}
         for batch in batches:
             data, offsets = tx.flat(batch.column(0))
-            for first, last in tx.chunks(offsets):
-                w = tx.words_of(data, offsets, first, last, tx.ALNUM)
-                h = tx.word_hashes(w)
-                for k, keys in b.shingles.items():
-                    at, key = found(keys, held[k], gram(h, k))
-                    sums[k] += np.bincount(key[w.row[at] == w.row[at + k - 1]], minlength=len(keys))
-        for k, n in sums.items():
-            some = np.flatnonzero(n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), k, np.int32)), pa.array(some), pa.array(n[some])], ["k", "i", "n"])
+            for block, b in each_block(blocks):
+                held = {k: sieve(v) for k, v in b.shingles.items()}
+                sums = {k: np.zeros(len(v), np.int64) for k, v in b.shingles.items()}
+                for first, last in tx.chunks(offsets):
+                    w = tx.words_of(data, offsets, first, last, tx.ALNUM)
+                    h = tx.word_hashes(w)
+                    for k, keys in b.shingles.items():
+                        at, key = found(keys, held[k], gram(h, k))
+                        sums[k] += np.bincount(key[w.row[at] == w.row[at + k - 1]], minlength=len(keys))
+                for k, n in sums.items():
+                    some = np.flatnonzero(n)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block, np.int32)), pa.array(np.full(len(some), k, np.int32)), pa.array(some), pa.array(n[some])], ["block", "k", "i", "n"])
 
     return count
 
 
-def _probing(block, text_at: int, kept: list[int], schema, merge: bool):
+def _probing(blocks: list, text_at: int, kept: list[int], schema):
     def probe(batches) -> Iterator:
         import pyarrow as pa
         from pyspark.sql.pandas.types import to_arrow_schema
 
-        target, b = to_arrow_schema(schema), block.value
-        held = {k: sieve(t[0]) for k, t in b.tables.items()}
+        target = to_arrow_schema(schema)
         for batch in batches:
             data, offsets = tx.flat(batch.column(text_at))
             n_words, spans, items = np.zeros(batch.num_rows, np.int64), [[] for _ in range(batch.num_rows)], [set() for _ in range(batch.num_rows)]
-            for first, last in tx.chunks(offsets):
-                w = tx.words_of(data, offsets, first, last, tx.ALNUM)
-                n_words[first:last] = w.count
-                ends, h = np.cumsum(w.count), tx.word_hashes(w)
-                for k, (keys, bounds, windows, shifts) in b.tables.items():
-                    if len(h) < k:
-                        continue
-                    at, key = found(keys, held[k], gram(h, k))
-                    many = bounds[key + 1] - bounds[key]
-                    entry = np.repeat(bounds[key], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-                    at = np.repeat(at, many)
-                    win = windows[entry]
-                    row, start, size = w.row[at], at - shifts[entry], b.length[win]
-                    fits = (start >= (ends - w.count)[row]) & (start + size <= ends[row])
-                    row, start, size, win = row[fits], start[fits], size[fits], win[fits]
-                    equal = np.ones(len(row), bool)
-                    for j in range(int(size.max(initial=0))):
-                        on = equal & (size > j)
-                        equal[on] = h[start[on] + j] == b.hashes[b.start[win[on]] + j]
-                    raw = w.data
-                    for r, s, n, x in zip(row[equal].tolist(), start[equal].tolist(), size[equal].tolist(), win[equal].tolist()):
-                        own = b.start[x]
-                        if all(raw[w.begin[s + j] : w.stop[s + j]].tobytes() == b.words[own + j] for j in range(n)):
-                            base = int(ends[r] - w.count[r])
-                            spans[first + r].append((s - base, s - base + n))
-                            items[first + r].add(b.ids[b.item[x]])
-            if merge:
-                for i, (s, t) in enumerate(zip(batch.column(batch.num_columns - 2).to_pylist(), batch.column(batch.num_columns - 1).to_pylist())):
-                    spans[i] += [(x["begin"], x["stop"]) for x in s or ()]
-                    items[i] |= set(t or ())
+            for _, b in each_block(blocks):
+                held = {k: sieve(t[0]) for k, t in b.tables.items()}
+                for first, last in tx.chunks(offsets):
+                    w = tx.words_of(data, offsets, first, last, tx.ALNUM)
+                    n_words[first:last] = w.count
+                    for row, begin, stop, item in hits(w, b, held):
+                        spans[first + row].append((begin, stop))
+                        items[first + row].add(item)
             own = [pa.array(n_words), pa.array([[{"begin": x, "stop": y} for x, y in merged(s)] for s in spans], target.field("spans").type), pa.array([sorted(x) for x in items], target.field("items").type)]
             yield pa.RecordBatch.from_arrays([*[batch.column(i).cast(target.field(j).type) for j, i in enumerate(kept)], *own], schema=target)
 
     return probe
 
 
+def hits(w: tx.Words, b: Block, held: dict[int, np.ndarray]) -> Iterator[tuple[int, int, int, str]]:
+    """(row, first word, end, item) of each window that occurs in a chunk's rows."""
+    ends, h = np.cumsum(w.count), tx.word_hashes(w)
+    for k, (keys, bounds, windows, shifts) in b.tables.items():
+        if len(h) < k:
+            continue
+        at, key = found(keys, held[k], gram(h, k))
+        many = bounds[key + 1] - bounds[key]
+        entry = np.repeat(bounds[key], many) + np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        at = np.repeat(at, many)
+        win = windows[entry]
+        row, start, size = w.row[at], at - shifts[entry], b.length[win]
+        fits = (start >= (ends - w.count)[row]) & (start + size <= ends[row])
+        row, start, size, win = row[fits], start[fits], size[fits], win[fits]
+        equal = np.ones(len(row), bool)
+        for j in range(int(size.max(initial=0))):
+            on = equal & (size > j)
+            equal[on] = h[start[on] + j] == b.hashes[b.start[win[on]] + j]
+        raw = w.data
+        for r, s, n, x in zip(row[equal].tolist(), start[equal].tolist(), size[equal].tolist(), win[equal].tolist()):
+            own = b.start[x]
+            if all(raw[w.begin[s + j] : w.stop[s + j]].tobytes() == b.words[own + j] for j in range(n)):
+                base = int(ends[r] - w.count[r])
+                yield r, s - base, s - base + n, b.ids[b.item[x]]
+
+
+def _cutting(window: int, most: int):
+    """(item, text) -> the same in pieces of at most ``most`` bytes that overlap by a window less one word."""
+
+    def cut(batches) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            for item, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if len(text.encode()) <= most:
+                    yield pa.RecordBatch.from_arrays([pa.array([item]), pa.array([text])], ["i", "t"])
+                    continue
+                words, first = [x.group() for x in WORD.finditer(text)], 0
+                while first < len(words):
+                    last, size = first, 0
+                    while last < len(words) and (size < most or last - first < 2 * window):
+                        size += len(words[last].encode()) + 1
+                        last += 1
+                    yield pa.RecordBatch.from_arrays([pa.array([item]), pa.array([" ".join(words[first:last])])], ["i", "t"])
+                    if last == len(words):
+                        break
+                    first = last - window + 1
+
+    return cut
+
+
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     """Disjoint ranges with the same union."""
     out: list[tuple[int, int]] = []
@@ -180,26 +220,29 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, *, text: str = "text",
     spark = docs.sparkSession
     scratch = Scratch(spark, "decontaminate")
     keep = [c for c in (docs.columns if keep is None else keep) if c not in RESULT.names]
-    size = benchmark.agg(F.sum(F.octet_length(item_text))).first()[0] or 0
-    blocks = -(-size // block_bytes) or 1
-    items = benchmark.select(F.col(item).alias("i"), F.col(item_text).alias("t")).where("t is not null")
-    out = docs if text in keep else docs.select(*keep, text)
-    fields = [f for f in out.schema if f.name not in RESULT.names]
-    out = out.select(*[f.name for f in fields])
+    items = benchmark.select(F.col(item).cast("string").alias("i"), F.col(item_text).alias("t")).where("t is not null")
+    items = scratch.cut(items.mapInArrow(_cutting(window, block_bytes // 4), "i string, t string"), "items")
+    size = items.agg(F.sum(F.octet_length("t"))).first()[0] or 0
+    n = -(-size // block_bytes) or 1
+    items = items.withColumn("block", F.pmod(F.xxhash64("i", "t"), F.lit(n)))
+    fields = [f for f in docs.select(*dict.fromkeys([*keep, text])).schema if f.name not in RESULT.names]
     schema = T.StructType([*fields, *RESULT])
-    for k in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("i", "t"), F.lit(blocks)) == k).collect()  # about block_bytes
-        block = Block(rows, window)
-        counted = docs.select(text).mapInArrow(_counting(spark.sparkContext.broadcast(block)), "k int, i long, n long").groupBy("k", "i").agg(F.sum("n").alias("n")).collect()
+    share = spark.sparkContext.broadcast
+    # the driver holds one block's windows at a time
+    blocks = [share(Block([(r["i"], r["t"]) for r in items.where(F.col("block") == k).collect()], window)) for k in range(n)]
+    counted = docs.select(text).mapInArrow(_counting(blocks), "block int, k int, i long, n long").groupBy("block", "k", "i").agg(F.sum("n").alias("n"))
+    counted = scratch.cut(counted, "counted")
+    ordered = []
+    for k, shared in enumerate(blocks):
+        block = shared.value
         counts = {s: np.zeros(len(v), np.int64) for s, v in block.shingles.items()}
-        for s, i, n in counted:  # one row for each shingle of the block at most
-            counts[s][i] = n
+        for _, s, i, c in counted.where(F.col("block") == k).collect():  # one row for each shingle of the block at most
+            counts[s][i] = c
         block.order(counts)
-        names = [f.name for f in fields]
-        out = out.mapInArrow(_probing(spark.sparkContext.broadcast(block), names.index(text), list(range(len(names))), schema, k > 0), schema)
-        if k + 1 < blocks:
-            out = scratch.cut(out, f"block{k}")
-            scratch.drop(*[f"block{k - 1}"] * (k > 0))
+        ordered.append(share(block))
+        vars(shared).pop("_value", None)
+    names = [f.name for f in fields]
+    out = docs.select(*names).mapInArrow(_probing(ordered, names.index(text), list(range(len(names))), schema), schema)
     return out.select(*keep, *RESULT.names)
 
 
