@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quirework.llm import decontaminate, jaccard_join, langid, linededup, media, mixing, sharding, toxicity, urlfilter, warczip
-from quirework.llm._scratch import Scratch
+from quirework.sources.scratch import Scratch
 from quirework.llm.oracle import ORACLE  # noqa: F401
 
 
@@ -40,7 +40,7 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     # whatever the labels say, what is scored has the text alone
     model = toxicity.fit(docs.select("doc_id", "text").join(learn, "doc_id"))
     out = toxicity.score(docs.select("doc_id", "text"), model)
-    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"))
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= toxicity.CUT).cast("int").alias("predicted"), "spans")
 
 
 def op5_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def op5_media_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url"))
-    return out.select("page_id", "host", "path", "rule", "verdict", "template")
+    return out.select("page_id", "host", "path", "rule", "verdict", "template", "purity")
 
 
 def op7_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,7 +72,7 @@ def op9_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"), all_holders=True)
+    out = linededup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_removed", F.length("kept_text").cast("long").alias("kept_chars"), F.sha2(F.encode("kept_text", "UTF-8"), 256).alias("kept_sha256"))
 
 

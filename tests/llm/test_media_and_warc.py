@@ -1,8 +1,11 @@
 """Exact round trips of chunked media and of WARC packages."""
 
 import base64
+import contextlib
 import hashlib
+import io
 import struct
+import zipfile
 import zlib
 
 import pytest
@@ -40,7 +43,20 @@ def test_media_of_an_empty_table(spark):
 @pytest.mark.parametrize("zip64", [False, True])
 def test_package_is_read_by_range(zip64):
     rows = [(i, warczip.record(i, f"http://h/{i}", f"<p>{i}</p>\r\n\r\n".encode() * i, None)) for i in range(5)]
-    raw = warczip.package([(str(k), r) for k, r in rows], zip64)
+    out = io.BytesIO()
+    with zipfile.ZipFile(out, "w") if not zip64 else contextlib.nullcontext() as z:
+        if z:  # as another writer makes it
+            at = [sum(len(r) for _, r in rows[:i]) for i in range(5)]
+            z.writestr(warczip.INDEX, "\n".join(f'{k} {{"length": {len(r)}, "offset": {a}}}' for (k, r), a in zip(rows, at)))
+            z.writestr(warczip.DATA, b"".join(r for _, r in rows))
+            z.writestr("note.txt", "x" * 99, zipfile.ZIP_DEFLATED)
+    if zip64:
+        archive = warczip.Archive(out)
+        for k, r in rows:
+            archive.add(str(k), r)
+        archive.close()
+        assert b"\x01\x00\x10\x00" in out.getvalue()[:200]  # the extra field of 64-bit sizes
+    raw = out.getvalue()
     asked = []
 
     def read_at(at, n):
@@ -50,6 +66,28 @@ def test_package_is_read_by_range(zip64):
     got = list(warczip.records(read_at, len(raw)))
     assert [g[0] for g in got] == list(range(5)) and [g[2] for g in got] == [f"<p>{i}</p>\r\n\r\n".encode() * i for i in range(5)]
     assert warczip.directory(read_at, len(raw)).keys() == {warczip.DATA, warczip.INDEX}
+    few = []
+    far = warczip.ahead(lambda at, n: few.append(n) or raw[at : at + n], len(raw), 1 << 16)
+    assert [g[2] for g in warczip.records(far, len(raw))] == [g[2] for g in got] and len(few) < len(asked)
+
+
+def test_archives_are_files_read_by_range_only(spark, tmp_path, monkeypatch):
+    rows = [(i, f"http://h/{i}", f"page {i} " * 400) for i in range(200)]
+    listing = warczip.written(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), archive_bytes=200_000)
+    paths = [r["path"] for r in listing.collect()]
+    assert 3 <= len(paths) <= 5
+    found = []
+    for path in paths:
+        fs, inside = warczip.file_system(path)
+        with fs.open_input_file(inside) as f:
+            size = f.size()
+            with zipfile.ZipFile(io.BytesIO(f.read())) as z:
+                assert z.testzip() is None and {i.compress_type for i in z.infolist()} == {zipfile.ZIP_STORED}
+            asked = []
+            rows_ = list(warczip.records(lambda at, n: asked.append((at, n)) or f.read_at(n, at), size))
+            assert max(n for _, n in asked) < size  # never the whole archive
+            found += [(r[0], r[2].decode()) for r in rows_]
+    assert sorted(found) == [(i, html) for i, _, html in rows]
 
 
 def test_zip64_directory_with_overflowing_fields():

@@ -113,10 +113,31 @@ def test_url_rules_and_templates(spark):
 
 def test_url_templates_learn_from_labelled_branches(spark):
     rules = (("s.com", "/a/x", "block"), ("s.com", "/b/", "allow"))
-    rows = [(i, f"http://s.com/a/x{i}/p") for i in range(100000, 100030)] + [(1, "http://s.com/a/77777/p"), (2, "http://s.com/b/1"), (3, "http://s.com/c/1"), (4, "http://t.com/a/77777/p")]
+    rows = [(i, f"http://s.com/a/x{i}/p") for i in range(100000, 100030)] + [(1, "http://s.com/a/77777/p"), (2, "http://s.com/b/1"), (3, "http://s.com/c/1"), (4, "http://t.com/a/77777/p"), (5, "http://t.com/c/1")]
     out = {r["page_id"]: r for r in urlfilter.judge(spark.createDataFrame(rows, "page_id long, url string"), rules=rules).collect()}
-    assert [out[i]["verdict"] for i in (1, 2, 3, 4)] == ["block", "allow", "allow", "allow"]
+    assert [out[i]["verdict"] for i in (1, 2, 3, 4, 5)] == ["block", "allow", "allow", "block", "allow"]
     assert out[1]["rule"] is None and out[1]["template"] == out[100000]["template"]
+    # no label on a/*/p of t.com: its purity is that of the shape on all hosts
+    assert out[4]["rule"] is None and out[4]["purity"] == pytest.approx((30 + 1) / 32)
+
+
+def test_branches_merge_by_a_two_proportion_test(spark):
+    rules = (("s.com", "/good/", "allow"), ("s.com", "/fine/", "allow"), ("s.com", "/bad/", "block"))
+    rows = [(f"/{d}/{i}", d) for d in ("good", "fine", "bad", "other", "more") for i in range(100, 120)]
+    pages = spark.createDataFrame([(n, f"http://s.com{path}") for n, (path, _) in enumerate(rows)], "page_id long, url string")
+    out = {r["path"].split("/")[1]: r for r in urlfilter.judge(pages, rules=rules).collect()}
+    assert out["good"]["template"] == out["fine"]["template"] != out["bad"]["template"]
+    assert out["other"]["template"] == out["more"]["template"]
+    apart = spark.createDataFrame([(3, 10, 4, 10), (30, 100, 60, 100), (1, 1, 0, 1), (0, 0, 5, 5)], "b long, n long, c long, m long")
+    got = [r[0] for r in apart.select(urlfilter.differ(F.col("b"), F.col("n"), F.col("c"), F.col("m"))).collect()]
+    assert got == [False, True, False, False]
+
+
+def test_deep_urls_and_one_shape(spark):
+    deep = "http://d.com/" + "/".join("s" * 3 + chr(97 + i % 26) for i in range(300))
+    pages = spark.createDataFrame([(1, deep), (2, deep), (3, "http://d.com/x"), (4, "http://d.com/")], "page_id long, url string")
+    out = {r["page_id"]: r for r in urlfilter.judge(pages).collect()}
+    assert out[1]["template"] == out[2]["template"] and len(out[1]["template"]) > 1000 and out[1]["template"] != out[3]["template"]
 
 
 def test_mix_meets_targets(spark):
@@ -171,7 +192,7 @@ def hilbert_point(index, bits=4):
 
 def test_hilbert_index(spark):
     points = spark.range(4096).selectExpr("id", "cast(id % 16 as int) _h0", "cast(id div 16 % 16 as int) _h1", "cast(id div 256 as int) _h2")
-    got = {r["hilbert"]: (r["id"] % 16, r["id"] // 16 % 16, r["id"] // 256) for r in sharding.hilbert(points).collect()}
+    got = {r["hilbert"]: (r["id"] % 16, r["id"] // 16 % 16, r["id"] // 256) for r in sharding.hilbert(points, bits=4).collect()}
     assert sorted(got) == list(range(4096))
     assert all(got[i] == hilbert_point(i) for i in range(4096))
     assert all(sum(abs(a - b) for a, b in zip(got[i], got[i + 1])) == 1 for i in range(4095))

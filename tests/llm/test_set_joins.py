@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from quirework.llm import decontaminate, jaccard_join, linededup
 from tests.llm import brute
@@ -78,39 +79,24 @@ def test_decontamination_of_empty_tables_and_extra_columns(spark):
     assert [r["contaminated"] for r in none] == [False, False]
 
 
-def plain_line_dedup(rows, least=20):
-    texts = {}
-    for doc, text in rows:
-        if text is not None:
-            texts.setdefault(doc, text)
-    lines = {d: [x.strip(" ") for x in t.split("\n")] for d, t in texts.items()}
-    first = {}
-    for d in sorted(lines):
-        for x in lines[d]:
-            if len(x) >= least:
-                first.setdefault(x, d)
-    out = {}
-    for d in lines:
-        gone = set()
-        for e in {first[x] for x in lines[d] if len(x) >= least} - {d}:
-            gone |= set(linededup.removed(lines[d], lines[e], [len(x) for x in lines[d]], least))
-        out[d] = "\n".join(x for i, x in enumerate(texts[d].split("\n")) if i not in gone)
-    return out
+def test_line_dedup_of_long_and_empty_texts(spark):
+    rows = [(1, None), (2, ""), (3, "y" * 100_000), (4, "y" * 100_000 + "\nshort"), (None, "a line of an unknown document"), (5, "a line of an unknown document"), (6, "a b")]
+    got = {r["doc_id"]: r["kept_text"] for r in linededup.dedup(spark.createDataFrame(rows, "doc_id long, text string").withColumn("kept_text", F.lit("clash"))).collect()}
+    assert got == {1: None, 2: "", 3: "y" * 100_000, 4: "short", None: "a line of an unknown document", 5: "", 6: "a b"}
 
 
-def test_line_dedup_equals_a_plain_version(spark):
-    rng = random.Random(8)
-    pool = [f"a shared line with number {i} in it" for i in range(30)]
-    rows = []
-    for i in range(60):
-        own = [f"own line {i}/{j} of this document only" for j in range(rng.randint(0, 4))]
-        at = rng.randrange(len(own) + 1)
-        start = rng.randrange(25)
-        rows.append((i, "\n".join(own[:at] + pool[start : start + rng.randint(0, 5)] + ["", "x"] + own[at:])))
-    rows += [(100, None), (101, ""), (102, rows[0][1]), (103, "y" * 100_000)]
+def test_line_dedup_leaves_own_lines_of_repeated_ids(spark):
+    x, y = "the first line that several documents share", "the second line that several documents share"
+    rows = [(1, f"{x}\n{y}"), (5, f"{x}\nits own line which nobody else has"), (5, f"another own line that has to stay\n{x}"), (5, f"{x}\nits own line which nobody else has")]
+    got = sorted((r["doc_id"], r["kept_text"]) for r in linededup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert got == [(1, f"{x}\n{y}"), (5, "another own line that has to stay"), (5, "its own line which nobody else has"), (5, "its own line which nobody else has")]
+
+
+def test_line_dedup_removes_whole_copies(spark):
+    x, y = "the first line that several documents share", "the second line that several documents share"
+    rows = [(1, f"{y}\nx\n{x}"), (2, f"{x}\n{y}"), (3, f"{x}\n{y}"), (4, f"{x}\nz\n{y}"), (6, f"{x}\nz\n{y}")]
     got = {r["doc_id"]: r["kept_text"] for r in linededup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    want = plain_line_dedup(rows)
-    assert got == want | {100: None}
+    assert got[3] == "" and got[6] == "" and got[1] == rows[0][1]
 
 
 def test_patience_diff_aligns_in_order():
@@ -124,6 +110,42 @@ def test_line_dedup_of_an_empty_table(spark):
     assert linededup.dedup(spark.createDataFrame([], "doc_id long, text string, cut int")).count() == 0
 
 
+def plain_alignment(a, b):
+    """Patience diff by its definition: equal ends, then unique lines in their longest common order, then the gaps; where
+    no line is unique, equal lines are counted off."""
+    if not a or not b:
+        return []
+    if a[0] == b[0]:
+        return [(0, 0), *((i + 1, j + 1) for i, j in plain_alignment(a[1:], b[1:]))]
+    if a[-1] == b[-1]:
+        return [*plain_alignment(a[:-1], b[:-1]), (len(a) - 1, len(b) - 1)]
+    pairs = [(i, b.index(x)) for i, x in enumerate(a) if a.count(x) == b.count(x) == 1]
+    if not pairs:
+        pairs = [(i, [j for j, y in enumerate(b) if y == x][a[:i].count(x)]) for i, x in enumerate(a) if a[:i].count(x) < b.count(x)]
+    if not pairs:
+        return []
+    best = []  # the longest increasing run up to each pair; of several, that which stays lowest
+    for k, (_, j) in enumerate(pairs):
+        best.append([*min((best[h] for h in range(k) if pairs[h][1] < j), key=lambda r: (-len(r), r[-1][1]), default=[]), pairs[k]])
+    anchors = min(best, key=lambda r: (-len(r), r[-1][1]))
+    out, (p, q) = [], (0, 0)
+    for i, j in [*anchors, (len(a), len(b))]:
+        out += [(p + x, q + y) for x, y in plain_alignment(a[p:i], b[q:j])] + [(i, j)]
+        p, q = i + 1, j + 1
+    return out[:-1]
+
+
+def plain_removed(later, earlier, least):
+    run, out, before = [], set(), None
+    for i, j in [*plain_alignment(later, earlier), (-9, -9)]:
+        if before != (i - 1, j - 1):
+            out |= set(run) if sum(len(later[x]) for x in run) >= least else set()
+            run = []
+        run.append(i)
+        before = (i, j)
+    return out
+
+
 def plain_aligned_with_all(rows, least=20):
     """Alignment with every earlier document that shares a run of lines with ``least`` characters."""
     lines = {d: [x.strip(" ") for x in t.split("\n")] for d, t in rows}
@@ -135,7 +157,7 @@ def plain_aligned_with_all(rows, least=20):
         gone = set()
         for e in lines:
             if e < d and runs[d] & runs[e]:
-                gone |= set(linededup.removed(lines[d], lines[e], [len(x) for x in lines[d]], least))
+                gone |= plain_removed(lines[d], lines[e], least)
         out[d] = "\n".join(x for i, x in enumerate(text.split("\n")) if i not in gone)
     return out
 
@@ -148,6 +170,6 @@ def test_line_dedup_with_all_holders_goes_beyond_the_earliest_one(spark):
     rows += [(i, "\n".join(rng.choices(pool, k=rng.randint(1, 6)) + [f"a line of document {i} and no other"] * (i % 2))) for i in range(4, 70)]
     rows += [(i + 100, text) for i, text in rows[::5]]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = {r["doc_id"]: r["kept_text"] for r in linededup.dedup(docs, all_holders=True).collect()}
+    got = {r["doc_id"]: r["kept_text"] for r in linededup.dedup(docs).collect()}
     assert got == plain_aligned_with_all(rows)
     assert got[3] == "own words"
