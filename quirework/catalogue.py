@@ -53,7 +53,7 @@ m AS (SELECT doc_id, CAST(len(codes) AS BIGINT) AS code_tokens, CAST(len(list_fi
 SELECT doc_id, code_tokens, latin_tokens, CASE WHEN placeholder THEN 'BLOCKED' WHEN latin_tokens < 20 THEN 'NEEDS_REVIEW' ELSE 'PASS' END AS status FROM m
 """)
 def doc_quality_gate(spark, sf_dir):
-    """Critical tokens, residue and status of every document, through the rule engine's lattice."""
+    """Critical tokens, residue and status of every document."""
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
     m = d.select("doc_id", F.size(code_tokens(F.col("text"))).cast("long").alias("code_tokens"), F.size(F.filter(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)), lambda w: F.length(w) > 1)).cast("long").alias("latin_tokens"), F.col("text").rlike(r"\[(TODO|TBD|TRANSLATE)\]").alias("placeholder"))
     status = F.when(F.col("placeholder"), "BLOCKED").when(F.col("latin_tokens") < 20, "NEEDS_REVIEW").otherwise("PASS")
@@ -172,21 +172,12 @@ def content_loss(spark, sf_dir):
     return p.withColumn("code", code).where("code is not null").select("source_doc", "candidate_doc", "source_chars", "candidate_chars", "code")
 
 
-@query("""
-SELECT doc_id, CAST(length(text) AS BIGINT) AS chars, CAST((length(text) - length(replace(text, 'en', ''))) // 2 AS BIGINT) AS token_count,
-  replace(lower(substr(text, 1, 40)), 'ß', 'ss') AS folded, regexp_matches(text, '[\\x{3400}-\\x{9fff}]') AS cjk FROM documents
-""")
-def text_measures(spark, sf_dir):
-    x = F.col("text")
-    return table(spark, sf_dir, "documents").select("doc_id", F.length(x).cast("long").alias("chars"), t.count_of(x, F.lit("en")).cast("long").alias("token_count"), t.folded(F.substring(x, 1, 40)).alias("folded"), t.has_cjk(x).alias("cjk"))
-
-
 @query("""
 SELECT doc_id, CAST(length(text) AS BIGINT) AS chars, CAST((length(text) - length(replace(text, 'en', ''))) // 2 AS BIGINT) AS token_count,
   sha256(replace(lower(text), 'ß', 'ss')) AS folded_sha256, regexp_matches(text, '[\\x{3400}-\\x{9fff}]') AS cjk FROM documents
 """)
-def text_measures_whole(spark, sf_dir):
-    """text_measures with the digest of the whole folded text."""
+def text_measures(spark, sf_dir):
+    """Length, token count, digest of the whole folded text, and whether it holds CJK characters."""
     x = F.col("text")
     return table(spark, sf_dir, "documents").select("doc_id", F.length(x).cast("long").alias("chars"), t.count_of(x, F.lit("en")).cast("long").alias("token_count"), F.sha2(t.folded(x).cast("binary"), 256).alias("folded_sha256"), t.has_cjk(x).alias("cjk"))
 
@@ -376,17 +367,17 @@ def greedy_one_to_one(spark, sf_dir):
 
 
 @query("""
-WITH l AS (SELECT 1 AS layer, p_name AS source, p_brand AS target FROM part UNION ALL SELECT 2, upper(p_name), p_type FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT 3, p_name, 'user' FROM part WHERE p_partkey % 11 = 0),
-k AS (SELECT lower(source) AS key, max(layer) AS layer FROM l GROUP BY 1)
-SELECT k.key, CAST(k.layer AS INTEGER) AS layer, CAST(count(DISTINCT l.target) >= 1 AS BOOLEAN) AS found FROM k JOIN l ON lower(l.source) = k.key AND l.layer = k.layer GROUP BY 1, 2
+WITH l AS (SELECT 1 AS layer, p_name AS source, p_brand AS target, p_partkey AS line FROM part UNION ALL SELECT 2, upper(p_name), p_type, p_partkey FROM part WHERE p_partkey % 3 = 0 UNION ALL SELECT 3, p_name, 'user', p_partkey FROM part WHERE p_partkey % 11 = 0),
+r AS (SELECT *, lower(source) AS key, row_number() OVER (PARTITION BY lower(source) ORDER BY layer DESC, line DESC) AS k FROM l)
+SELECT key, CAST(layer AS INTEGER) AS layer, source, target FROM r WHERE k = 1
 """)
 def precedence_merge(spark, sf_dir):
-    """Public, pack and user terms: the last layer that has a term, folded, gives its target."""
+    """Public, pack and user terms: the last line of the last layer that has a term, folded, gives its target."""
     p = table(spark, sf_dir, "part")
-    layers = p.select(F.lit(1).alias("layer"), F.col("p_name").alias("source"), F.col("p_brand").alias("target"))
-    layers = layers.unionByName(p.where("p_partkey % 3 = 0").select(F.lit(2).alias("layer"), F.upper("p_name").alias("source"), F.col("p_type").alias("target")))
-    layers = layers.unionByName(p.where("p_partkey % 11 = 0").select(F.lit(3).alias("layer"), F.col("p_name").alias("source"), F.lit("user").alias("target")))
-    return joins.precedence_merge(layers, t.folded(F.col("source"))).select("key", "layer", F.col("target").isNotNull().alias("found"))
+    layers = p.select(F.lit(1).alias("layer"), F.col("p_name").alias("source"), F.col("p_brand").alias("target"), F.col("p_partkey").alias("line"))
+    layers = layers.unionByName(p.where("p_partkey % 3 = 0").select(F.lit(2).alias("layer"), F.upper("p_name").alias("source"), F.col("p_type").alias("target"), F.col("p_partkey").alias("line")))
+    layers = layers.unionByName(p.where("p_partkey % 11 = 0").select(F.lit(3).alias("layer"), F.col("p_name").alias("source"), F.lit("user").alias("target"), F.col("p_partkey").alias("line")))
+    return joins.precedence_merge(layers, t.folded(F.col("source")), order="line").select("key", "layer", "source", "target")
 
 
 @query("""
@@ -466,22 +457,12 @@ def review_status(spark, sf_dir):
     return d.withColumn("s", severity).groupBy("source").agg(aggregates.worst(F.col("s")).alias("status"), F.count("*").alias("pages"))
 
 
-@query("""
-WITH n AS (SELECT doc_id, regexp_replace(replace(lower(substr(text, 1, 60)), 'ß', 'ss'), '[^\\p{L}\\p{N}]+', '', 'g') AS note FROM documents)
-SELECT note, CAST(count(*) AS BIGINT) AS n, list_sort(list(doc_id)) AS pages FROM n WHERE length(note) >= 20 GROUP BY 1 HAVING count(*) > 1
-""")
-def repeated_notes(spark, sf_dir):
-    note = F.regexp_replace(t.folded(F.substring("text", 1, 60)), r"[^\p{L}\p{N}]+", "")
-    n = table(spark, sf_dir, "documents").select("doc_id", note.alias("note")).where("length(note) >= 20")
-    return n.groupBy("note").agg(F.count("*").alias("n"), F.array_sort(F.collect_list("doc_id")).alias("pages")).where("n > 1")
-
-
 @query("""
 WITH n AS (SELECT doc_id, regexp_replace(replace(lower(text), 'ß', 'ss'), '[^\\p{L}\\p{N}]+', '', 'g') AS note FROM documents)
 SELECT sha256(note) AS note_sha256, CAST(count(*) AS BIGINT) AS n, list_sort(list(doc_id)) AS pages FROM n WHERE length(note) >= 20 GROUP BY 1 HAVING count(*) > 1
 """)
-def repeated_notes_whole(spark, sf_dir):
-    """repeated_notes over the whole of each note, by digest."""
+def repeated_notes(spark, sf_dir):
+    """Notes that several documents have once case, blanks and punctuation are gone; the whole of each, by digest."""
     note = F.regexp_replace(t.folded(F.col("text")), r"[^\p{L}\p{N}]+", "")
     n = table(spark, sf_dir, "documents").select("doc_id", note.alias("note")).where("length(note) >= 20")
     n = n.select("doc_id", F.sha2(F.col("note").cast("binary"), 256).alias("note_sha256"))
@@ -557,9 +538,29 @@ def order_groups(spark, sf_dir) -> DataFrame:
     return x.select((F.col("l_orderkey") % 50).alias("doc"), F.col("l_orderkey").alias("component"), F.lit(1).alias("pages"), (F.col("segments") * 7).alias("segments"), (F.col("q") > 49).alias("high"))
 
 
-@query()
+@query("""
+WITH RECURSIVE g AS (
+  SELECT l_orderkey % 50 AS doc, l_orderkey AS component, 1 AS pages, CAST(count(*) * 7 AS BIGINT) AS segments, max(l_quantity) > 49 AS high,
+    row_number() OVER (PARTITION BY l_orderkey % 50 ORDER BY l_orderkey) AS i FROM lineitem GROUP BY l_orderkey),
+p(doc, i, component, batch, pages, segments, over, high) AS (
+  SELECT doc, i, component, CAST(1 AS BIGINT), pages, segments, pages > 8 OR segments > 80, high FROM g WHERE i = 1
+  UNION ALL
+  SELECT g.doc, g.i, g.component, CASE WHEN p.pages + g.pages > 8 OR p.segments + g.segments > 80 THEN p.batch + 1 ELSE p.batch END,
+    CASE WHEN p.pages + g.pages > 8 OR p.segments + g.segments > 80 THEN g.pages ELSE p.pages + g.pages END,
+    CASE WHEN p.pages + g.pages > 8 OR p.segments + g.segments > 80 THEN g.segments ELSE p.segments + g.segments END, g.pages > 8 OR g.segments > 80, g.high
+  FROM p JOIN g ON g.doc = p.doc AND g.i = p.i + 1),
+b AS (SELECT doc, batch, bool_or(high) AS high FROM p GROUP BY 1, 2),
+w(doc, batch, wave, state) AS (
+  SELECT doc, batch, 1, [{'n': 1, 'h': high}] FROM b WHERE batch = 1
+  UNION ALL
+  SELECT doc, batch, at, CASE WHEN at > len(state) THEN list_append(state, {'n': 1, 'h': high})
+    ELSE list_transform(state, lambda x, k: CASE WHEN k = at THEN {'n': x.n + 1, 'h': x.h OR high} ELSE x END) END
+  FROM (SELECT b.doc, b.batch, b.high, w.state, CAST(coalesce(nullif(list_position(list_transform(w.state, lambda x: x.n < 4 AND NOT (x.h AND b.high)), true), 0), len(w.state) + 1) AS INTEGER) AS at
+    FROM w JOIN b ON b.doc = w.doc AND b.batch = w.batch + 1))
+SELECT p.doc, p.component, p.batch, p.over AS oversize, w.wave FROM p JOIN w USING (doc, batch)
+""")
 def pack_batches(spark, sf_dir):
-    """Orders as groups of a document: batches and waves by folds."""
+    """Orders as groups of a document: batches and waves, each a fold in order."""
     return planner.plan(order_groups(spark, sf_dir)).select("doc", "component", "batch", "oversize", "wave")
 
 
@@ -761,9 +762,9 @@ def content_path_rows(spark, sf_dir):
 
 @query("SELECT * FROM (VALUES ('d', 1, 3)) v(doc_id, page, idx)")
 def missing_drawings(spark, sf_dir):
-    """Exact copies pair off first; the rest under tolerance by a maximum matching."""
+    """A maximum matching under tolerance; pairing the two at 70 off first would leave the one at 69.9993 alone."""
     row = lambda i, dx: ("d", 1, i, _box(dx, 0, dx + 10, 1), "s", None, [0.0, 0.0, 0.0], 1.0, 0.0, 1.0, 1.0, "[] 0", None, False, False, [("l", [dx, 0.0, dx + 10.0, 0.0])])
-    source, candidate = [row(0, 0.0), row(1, 0.0), row(2, 50.0), row(3, 90.0)], [row(0, 0.0), row(1, 0.0005), row(2, 50.0009), row(3, 90.1)]
+    source, candidate = [row(0, 0.0), row(1, 0.0), row(2, 50.0), row(3, 90.0), row(4, 70.0), row(5, 69.9993)], [row(0, 0.0), row(1, 0.0005), row(2, 50.0009), row(3, 90.1), row(4, 70.0), row(5, 70.0007)]
     return drawings.missing(spark.createDataFrame(source, drawings.SCHEMA), spark.createDataFrame(candidate, drawings.SCHEMA))
 
 
@@ -775,12 +776,12 @@ def page_ranges(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", readers.page_ranges(spec, F.lit(99)).alias("pages"))
 
 
-@query("SELECT * FROM (VALUES (1, 1), (2, 1), (3, 2)) v(line, span)")
+@query("SELECT * FROM (VALUES (1, 1, 'OK'), (2, 1, 'OK'), (3, 2, 'OK'), (4, NULL, 'CANDIDATE_TEXT_SPAN_MATCH_COUNT'), (5, NULL, 'CANDIDATE_TEXT_SPAN_MATCH_COUNT')) v(line, span, code)")
 def free_span_match(spark, sf_dir):
-    """Lines in order take the one span still free; span 1 goes to page 1's line and so on."""
-    lines = spark.createDataFrame([(1, 1, "ok", _box(0, 0, 10, 10), 10.0), (2, 2, "ok", _box(0, 0, 10, 10), 10.0), (2, 3, "ok", _box(0, 0, 30, 10), 10.0)], f"page int, line int, text string, box {g.BOX}, size double")
-    spans = spark.createDataFrame([(1, 1, "ok", 5.0, 5.0), (2, 1, "ok", 5.0, 5.0), (2, 2, "ok", 25.0, 5.0)], "page int, span int, text string, cx double, cy double")
-    return matching.free_text_match(lines, spans, ["page"], "line", "span", "text", "cx", "cy", "box", "size").select("line", "span")
+    """Lines in order take the one span still free; lines with none or several have a code."""
+    lines = spark.createDataFrame([(1, 1, "ok", _box(0, 0, 10, 10), 10.0), (2, 2, "ok", _box(0, 0, 10, 10), 10.0), (2, 3, "ok", _box(0, 0, 30, 10), 10.0), (3, 4, "ok", _box(0, 0, 9, 9), 1.0), (4, 5, "two", _box(0, 0, 9, 9), 1.0)], f"page int, line int, text string, box {g.BOX}, size double")
+    spans = spark.createDataFrame([(1, 1, "ok", 5.0, 5.0), (2, 1, "ok", 5.0, 5.0), (2, 2, "ok", 25.0, 5.0), (4, 1, "two", 5.0, 5.0), (4, 2, "two", 5.0, 5.0)], "page int, span int, text string, cx double, cy double")
+    return matching.free_text_match(lines, spans, ["page"], "line", "span", "text", "cx", "cy", "box", "size").select("line", "span", F.coalesce("code", F.lit("OK")).alias("code"))
 
 
 @query()

@@ -55,7 +55,10 @@ def residue(texts: DataFrame, keys: list[str], text: str, allowed: DataFrame | N
 
 
 def status_of_page(chars: Column, ratio: Column, images: Column, drawings: Column, blocks: Column, small: Column, columns: Column, pairs: Column) -> tuple[Column, Column]:
-    """(route, reasons) of a page by its metrics; the first of the exclusive routes wins, else reasons add up."""
+    """(route, reasons) of a page by its metrics; the first of the exclusive routes wins, else reasons add up.
+
+    Fixed values: the thresholds.
+    """
     reasons = F.filter(
         F.array(
             F.when(drawings >= 25, F.lit("drawings")),
@@ -71,11 +74,18 @@ def status_of_page(chars: Column, ratio: Column, images: Column, drawings: Colum
         .when(F.size(reasons) > 0, "structured")
         .otherwise("prose")
     )
-    return route, F.when(route.isin("structured"), reasons).otherwise(F.array().cast("array<string>"))
+    overlay = F.filter(F.array(F.lit("image-coverage"), F.when((drawings >= 20) | (blocks >= 12), F.lit("mixed-structure"))), lambda r: r.isNotNull())
+    return route, (
+        F.when(route == "scanned-rebuild", F.array(F.lit("raster-page")))
+        .when(route == "manual-review", F.array(F.lit("no-text")))
+        .when(route == "image-overlay", overlay)
+        .when(route == "structured", reasons)
+        .otherwise(F.array(F.lit("plain")))
+    )
 
 
 def semantic_class(text: Column, max_size: Column, any_bold: Column) -> Column:
-    bullet = F.ltrim(text).rlike("^[•‣◦▪●·-]")
+    bullet = F.ltrim(text).rlike("^[•-]")
     return F.when(bullet, "list").when((max_size >= 11) | ((F.length(text) < 70) & any_bold), "heading").otherwise("paragraph")
 
 

@@ -65,8 +65,9 @@ def equal_within(a: Column, b: Column) -> Column:
 def missing(sources: DataFrame, candidates: DataFrame) -> DataFrame:
     """(doc_id, page, idx) of source drawings without a partner in a maximum one-to-one matching of their page.
 
-    Exact copies are paired off by hash and rank first; only what is left meets under tolerance, and only pages
-    with such rests are matched by augmenting paths.
+    Tolerance isn't transitive, so pairing exact copies first can cost a partner.  It is done by hash and rank only
+    for signatures that no other signature of the other side is within tolerance of; all rows of the rest meet under
+    tolerance and are matched by augmenting paths.
     """
 
     def ranked(df: DataFrame) -> DataFrame:
@@ -75,8 +76,13 @@ def missing(sources: DataFrame, candidates: DataFrame) -> DataFrame:
 
     s, c = ranked(sources), ranked(candidates)
     keys = ["doc_id", "page", "_key", "_k"]
-    rest_s, rest_c = s.join(c, keys, "left_anti"), c.join(s, keys, "left_anti")
     fields = [n for n in sources.columns if n not in ("doc_id", "page", "idx")]
+    one = lambda df, side: df.where("_k = 1").select("doc_id", "page", F.size("ops").alias("n"), F.col("_key").alias(f"key_{side}"), F.struct(*fields).alias(side))
+    near = one(s, "a").join(one(c, "b"), ["doc_id", "page", "n"]).where((F.col("key_a") != F.col("key_b")) & equal_within(F.col("a"), F.col("b")))
+    mixed = near.select("doc_id", "page", F.explode(F.array("key_a", "key_b")).alias("_key")).distinct().withColumn("_mixed", F.lit(True))
+    s, c = (df.join(mixed, ["doc_id", "page", "_key"], "left") for df in (s, c))
+    sure = lambda df: df.where("_mixed is null").select(*keys)
+    rest_s, rest_c = s.join(sure(c), keys, "left_anti"), c.join(sure(s), keys, "left_anti")
     a = rest_s.select("doc_id", "page", F.col("idx").alias("s"), F.struct(*fields).alias("a"), F.size("ops").alias("n"))
     b = rest_c.select("doc_id", "page", F.col("idx").alias("c"), F.struct(*fields).alias("b"), F.size("ops").alias("n"))
     pairs = a.join(b, ["doc_id", "page", "n"]).where(equal_within(F.col("a"), F.col("b"))).select(F.concat_ws("#", "doc_id", "page").alias("g"), "s", "c")

@@ -142,10 +142,11 @@ def ambiguous(pairs: DataFrame, left: str, right: str) -> DataFrame:
     return n.where("_l <> 1 or _r <> 1").drop("_l", "_r")
 
 
-def precedence_merge(layers: DataFrame, key: Column, layer: str = "layer") -> DataFrame:
-    """One row per key: that of the highest layer."""
-    rows = layers.select(key.alias("key"), F.col(layer).alias("_layer"), F.struct(*layers.columns).alias("_row"))
-    return rows.groupBy("key").agg(F.max_by("_row", "_layer").alias("_row")).select("key", "_row.*")
+def precedence_merge(layers: DataFrame, key: Column, layer: str = "layer", order: str | None = None) -> DataFrame:
+    """One row per key: that of the highest layer; of rows of one layer the last by ``order``, else by their values."""
+    row = F.struct(*layers.columns)
+    rank = F.struct(F.col(layer), *([F.col(order)] if order else []), row)
+    return layers.select(key.alias("key"), rank.alias("_rank"), row.alias("_row")).groupBy("key").agg(F.max_by("_row", "_rank").alias("_row")).select("key", "_row.*")
 
 
 def over_budget(observed: DataFrame, allowed: DataFrame, keys: list[str], count: str = "n", allowance: str = "allowed") -> DataFrame:

@@ -85,12 +85,12 @@ def greedy_nearest(pairs: DataFrame, group: str, left: str, right: str, distance
 def free_text_match(lines: DataFrame, spans: DataFrame, keys: list[str], line: str, span: str, text: str, centre_x: str, centre_y: str, box: str, size: str) -> DataFrame:
     """Rendered lines in order, each to exactly one unused span of equal text centred in its box (slack max(3, .35 size)).
 
-    Where no span is open to two lines, counting decides; only groups with such a conflict run in order.
+    A line that no span or several free ones fit has no span and a code.  Groups run in order, one task each at a time.
     """
     slack = F.greatest(F.lit(3.0), F.col(size) * 0.35)
     b = F.col(box)
     near = (F.col(centre_x) >= b["x0"] - slack) & (F.col(centre_x) <= b["x1"] + slack) & (F.col(centre_y) >= b["y0"] - slack) & (F.col(centre_y) <= b["y1"] + slack)
-    pairs = lines.join(spans, [*keys, text]).where(near).select(*keys, line, span)
+    pairs = lines.join(spans.withColumnRenamed(text, "_text"), [*[lines[k] == spans[k] for k in keys], F.col(text) == F.col("_text"), near], "left").select(*[lines[k] for k in keys], line, span)
     grouped = pairs.withColumn("_g", F.to_json(F.struct(*keys)))
 
     def match(table):
@@ -98,17 +98,16 @@ def free_text_match(lines: DataFrame, spans: DataFrame, keys: list[str], line: s
 
         options: dict = {}
         for a, b_ in zip(table.column(line).to_pylist(), table.column(span).to_pylist()):
-            options.setdefault(a, []).append(b_)
+            options.setdefault(a, []).extend([] if b_ is None else [b_])
         used: set = set()
         out = []
         for a in sorted(options):
             free = [x for x in options[a] if x not in used]
-            if len(free) == 1:
-                used.add(free[0])
-                out.append((a, free[0]))
+            used |= set(free) if len(free) == 1 else set()
+            out.append((a, *((free[0], None) if len(free) == 1 else (None, "CANDIDATE_TEXT_SPAN_MATCH_COUNT"))))
         g = table.column("_g")[0].as_py()
-        return pa.table({"_g": pa.array([g] * len(out), pa.string()), line: pa.array([x for x, _ in out], table.schema.field(line).type), span: pa.array([y for _, y in out], table.schema.field(span).type)})
+        return pa.table({"_g": pa.array([g] * len(out), pa.string()), line: pa.array([x[0] for x in out], table.schema.field(line).type), span: pa.array([x[1] for x in out], table.schema.field(span).type), "code": pa.array([x[2] for x in out], pa.string())})
 
-    schema = grouped.select("_g", line, span).schema
+    schema = grouped.select("_g", line, span, F.lit(None).cast("string").alias("code")).schema
     found = grouped.select("_g", line, span).groupBy("_g").applyInArrow(match, schema)
     return grouped.select("_g", *keys).distinct().join(found, "_g").drop("_g")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quirework.functions import geometry as g
 
@@ -19,43 +22,82 @@ def top(df: DataFrame, group: list[str], order: list[Column], k: int) -> DataFra
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*group).orderBy(*order))).where(F.col("_r") <= k).drop("_r")
 
 
-def packed(groups: DataFrame, doc: str, ordinal: str, pages: str, segments: str, most_pages: int = 8, target: int = 80) -> DataFrame:
-    """Batches of consecutive groups: a group opens a new batch when pages or segments would go over.
+def folded(rows: DataFrame, group: str, order: str, inputs: list[str], start: Callable[[], Callable], name: str, kind: T.DataType) -> DataFrame:
+    """``rows`` with a column that a state machine gives, row by row in this order, afresh for each group.
 
-    A group that is over by itself stands alone and is marked.  One fold per document, in the engine's own
-    expressions; a document's groups are what one task holds.
+    ``start()`` makes the machine, a function of the inputs.  Rows are sorted within partitions and pass through as
+    Arrow batches, so a task holds one batch and one state, never a whole group, and work is linear.
     """
-    item = F.struct(F.col(ordinal).cast("long").alias("o"), F.col(pages).cast("long").alias("p"), F.col(segments).cast("long").alias("s"))
-    rows = groups.groupBy(doc).agg(F.array_sort(F.collect_list(item)).alias("_items"))
-    out_type = "array<struct<o:bigint,batch:bigint>>"
-    start = F.struct(F.lit(0).cast("long").alias("b"), F.lit(0).cast("long").alias("p"), F.lit(0).cast("long").alias("s"), F.array().cast(out_type).alias("out"))
+    schema = T.StructType([*rows.schema, T.StructField(name, kind)])
+    names = rows.columns
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        target, current, machine = to_arrow_schema(schema), object(), None
+        for batch in batches:
+            out = []
+            for key, *values in zip(*(batch.column(names.index(c)).to_pylist() for c in (group, *inputs))):
+                if machine is None or key != current:
+                    current, machine = key, start()
+                out.append(machine(*values))
+            yield pa.RecordBatch.from_arrays([*[batch.column(i).cast(target.field(i).type) for i in range(len(names))], pa.array(out, target.field(name).type)], schema=target)
+
+    return rows.repartition(group).sortWithinPartitions(group, order).mapInArrow(run, schema)
+
+
+def batching(most_pages: int, target: int) -> Callable:
+    """Number of the batch that a group of these pages and segments goes to."""
+    batch = pages = segments = 0
+
+    def step(p: int, s: int) -> int:
+        nonlocal batch, pages, segments
+        if not batch or pages + p > most_pages or segments + s > target:
+            batch, pages, segments = batch + 1, p, s
+        else:
+            pages, segments = pages + p, segments + s
+        return batch
+
+    return step
+
+
+def first_fit(most: int) -> Callable:
+    """Number of the earliest wave with room; a wave takes one high-risk batch.  Waves fill up in order, so two
+    pointers find it: the first wave with room, and the first with room and no high-risk batch."""
+    sizes: list[int] = []
+    risky: list[bool] = []
+    any_, calm = 0, 0
+
+    def step(high: bool) -> int:
+        nonlocal any_, calm
+        while any_ < len(sizes) and sizes[any_] >= most:
+            any_ += 1
+        while calm < len(sizes) and (sizes[calm] >= most or risky[calm]):
+            calm += 1
+        at = calm if high else any_
+        if at == len(sizes):
+            sizes.append(0)
+            risky.append(False)
+        sizes[at] += 1
+        risky[at] |= bool(high)
+        return at + 1
+
+    return step
 
-    def step(a: Column, x: Column) -> Column:
-        full = (a["b"] == 0) | (a["p"] + x["p"] > most_pages) | (a["s"] + x["s"] > target)
-        b = F.when(full, a["b"] + 1).otherwise(a["b"])
-        grown = lambda k: F.when(full, x[k]).otherwise(a[k] + x[k])
-        return F.struct(b.alias("b"), grown("p").alias("p"), grown("s").alias("s"), F.concat(a["out"], F.array(F.struct(x["o"].alias("o"), b.alias("batch")))).alias("out"))
 
-    placed = rows.select(doc, F.explode(F.aggregate("_items", start, step, lambda a: a["out"])).alias("x")).select(doc, F.col("x.o").alias(ordinal), F.col("x.batch").alias("batch"))
-    joined = groups.join(placed, [doc, ordinal])
-    return joined.withColumn("oversize", (F.col(pages) > most_pages) | (F.col(segments) > target))
+def packed(groups: DataFrame, doc: str, ordinal: str, pages: str, segments: str, most_pages: int = 8, target: int = 80) -> DataFrame:
+    """Batches of consecutive groups: a group opens a new batch when pages or segments would go over.
+
+    A group that is over by itself stands alone and is marked.
+    """
+    out = folded(groups, doc, ordinal, [pages, segments], lambda: batching(most_pages, target), "batch", T.LongType())
+    return out.withColumn("oversize", (F.col(pages) > most_pages) | (F.col(segments) > target))
 
 
 def waves(batches: DataFrame, doc: str, batch: str, high: str, most: int = 4) -> DataFrame:
     """First-fit waves: each batch joins the earliest wave with room, and at most one high-risk batch per wave."""
-    rows = batches.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct(F.col(batch).cast("long").alias("b"), F.col(high).alias("h")))).alias("_items"))
-    waves_type, out_type = "array<struct<n:int,h:boolean>>", "array<struct<b:bigint,wave:int>>"
-    start = F.struct(F.array().cast(waves_type).alias("w"), F.array().cast(out_type).alias("out"))
-
-    def step(a: Column, x: Column) -> Column:
-        open_ = F.transform(a["w"], lambda w: (w["n"] < most) & ~(w["h"] & x["h"]))
-        at = F.array_position(open_, F.lit(True)).cast("int")
-        fresh = F.concat(a["w"], F.array(F.struct(F.lit(1).alias("n"), x["h"].alias("h")))).cast(waves_type)
-        grown = F.transform(a["w"], lambda w, i: F.when(i == at - 1, F.struct((w["n"] + 1).alias("n"), (w["h"] | x["h"]).alias("h"))).otherwise(w)).cast(waves_type)
-        wave = F.when(at > 0, at).otherwise(F.size(a["w"]) + 1)
-        return F.struct(F.when(at > 0, grown).otherwise(fresh).alias("w"), F.concat(a["out"], F.array(F.struct(x["b"].alias("b"), wave.alias("wave")))).cast(out_type).alias("out"))
-
-    return rows.select(doc, F.explode(F.aggregate("_items", start, step, lambda a: a["out"])).alias("x")).select(doc, F.col("x.b").alias(batch), F.col("x.wave").alias("wave"))
+    return folded(batches.select(doc, batch, high), doc, batch, [high], lambda: first_fit(most), "wave", T.IntegerType()).select(doc, batch, "wave")
 
 
 def visible_intervals(subject_lo: Column, subject_hi: Column, occluders: Column) -> Column:

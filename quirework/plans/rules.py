@@ -232,7 +232,7 @@ def review_rules(minimum_dpi: int = 72, maximum_dpi: int = 600) -> list[Rule]:
 
 
 def preflight_rules() -> list[Rule]:
-    """Rows of raw files: ``latin`` is the content decoded as ISO-8859-1."""
+    """The patterns of unsafe files.  Rows of raw files: ``latin`` is the content decoded as ISO-8859-1."""
     c = F.col("latin")
     return [
         Rule("PDF_MAGIC_MISSING", ~F.contains(F.substring(c, 1, 1024), F.lit("%PDF-"))),
@@ -247,16 +247,33 @@ def preflight_rules() -> list[Rule]:
     ]
 
 
+# How a text's colour may be chosen; blank leaves it to the source.
+COLOUR_POLICIES = ("", "preserve_source_exact", "explicit_inspected", "fragment_source_exact")
+
+
+def bad_colour(c: Column) -> Column:
+    """Not three channels from 0 to 1."""
+    return F.coalesce((F.size(c) != 3) | F.exists(c, lambda x: F.coalesce((x < 0) | (x > 1), F.lit(True))), F.lit(True))
+
+
 def colour_rules() -> list[Rule]:
-    """Text colour policies: keep the one source colour, explicit, or confirmed change with a basis."""
+    """Text colours of rows that aren't preserved: several source colours need fragments or an inspected colour."""
     c = F.col
-    n, basis = F.size(F.coalesce("source_colors", F.array().cast("array<int>"))), ~blank(c("text_color_basis"))
+    colours = F.array_distinct(F.coalesce("source_colors", F.array().cast("array<int>")))
+    fragments = F.coalesce("fragments", F.array().cast("array<struct<text_color:array<double>,text_color_basis:string>>"))
+    judged = ~F.coalesce(c("action").isin(*PRESERVE_ACTIONS), F.lit(False))
+    policy, n, explicit = F.trim(F.coalesce("policy", F.lit(""))), F.size(colours), c("text_color").isNotNull()
+    in_parts = (n > 1) & (policy == "fragment_source_exact") & (F.size(fragments) > 0)
+    inspected = (policy == "explicit_inspected") & ((n == 1) | (n > 1)) & explicit
+    changed = g.srgb(*[F.try_element_at("text_color", F.lit(i)) for i in (1, 2, 3)]) != F.try_element_at(colours, F.lit(1))
     return [
-        Rule("SOURCE_TEXT_COLOR", F.exists("source_colors", lambda x: (x < 0) | (x > 0xFFFFFF))),
-        Rule("TEXT_COLOR_POLICY", ~c("policy").isin("source_exact", "user_confirmed", "source_single", "explicit")),
-        Rule("TEXT_COLOR", c("text_color").isNotNull() & ((F.size("text_color") != 3) | F.exists("text_color", lambda x: (x < 0) | (x > 1)))),
-        Rule("AMBIGUOUS_SOURCE_TEXT_COLOR", (n > 1) & c("text_color").isNull()),
-        Rule("SOURCE_TEXT_COLOR_MISSING", (n == 0) & c("text_color").isNull() & (c("policy") == "source_exact")),
-        Rule("SOURCE_TEXT_COLOR_CHANGED", (c("policy") == "source_exact") & (n == 1) & (F.size("text_color") == 3) & (g.srgb(*[F.try_element_at("text_color", F.lit(i)) for i in (1, 2, 3)]) != F.try_element_at("source_colors", F.lit(1))), needs=("TEXT_COLOR",)),
-        Rule("TEXT_COLOR_BASIS", (c("policy") == "user_confirmed") & ~basis),
+        Rule("SOURCE_TEXT_COLOR", judged & F.exists(colours, lambda x: x.isNull() | (x < 0) | (x > 0xFFFFFF))),
+        Rule("TEXT_COLOR_POLICY", judged & ~policy.isin(*COLOUR_POLICIES)),
+        Rule("TEXT_COLOR", judged & explicit & bad_colour(c("text_color"))),
+        Rule("FRAGMENT_TEXT_COLOR", judged & in_parts & F.exists(fragments, lambda x: bad_colour(x["text_color"]))),
+        Rule("FRAGMENT_TEXT_COLOR_BASIS", judged & in_parts & F.exists(fragments, lambda x: blank(x["text_color_basis"]))),
+        Rule("TEXT_COLOR_BASIS", judged & blank(c("text_color_basis")) & inspected),
+        Rule("AMBIGUOUS_SOURCE_TEXT_COLOR", judged & (n > 1) & ~in_parts & ~inspected),
+        Rule("SOURCE_TEXT_COLOR_CHANGED", judged & (n == 1) & explicit & changed & (policy != "explicit_inspected"), needs=("TEXT_COLOR",)),
+        Rule("SOURCE_TEXT_COLOR_MISSING", judged & (n == 0) & (policy == "preserve_source_exact")),
     ]

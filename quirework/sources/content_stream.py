@@ -115,22 +115,25 @@ def paths(raw: bytes) -> list[tuple]:
             if not ops:
                 first = i
             ops.append((op, coords))
-        elif op in CLIP:
-            if operands or not ops or clip:
+        elif ops and op in CLIP:
+            if operands or clip:
                 raise Malformed("CONTENT_PATH_CLIP_MALFORMED")
             clip = op
-        elif op in PAINT:
-            if operands or not ops and op != "n":
+        elif ops and op in PAINT:
+            if operands:
                 raise Malformed("CONTENT_PATH_PAINT_MALFORMED")
-            if ops:
-                out.append((len(out), first, i, list(ctm), json.dumps(style, sort_keys=True), clip, op, ops))
+            out.append((len(out), first, i, list(ctm), json.dumps(style, sort_keys=True), clip, op, ops))
             ops, first, clip = [], -1, None
         elif ops:
             raise Malformed("CONTENT_PATH_INTERWOVEN_OPERATOR")
+        elif op in CLIP or op in PAINT:
+            continue  # there is no path that it could act on
         elif op == "q":
+            if operands:
+                raise Malformed("GRAPHICS_STATE_OPERATOR_MALFORMED")
             saved.append((list(ctm), dict(style)))
         elif op == "Q":
-            if not saved:
+            if operands or not saved:
                 raise Malformed("GRAPHICS_STATE_STACK_MALFORMED")
             ctm, style = saved.pop()
         elif op == "cm":

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quirework.sources.scratch import Scratch
+
 GLOSSARY = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "source", "target", "notes")])
 
 
@@ -13,7 +15,7 @@ def json_objects(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame
     """(rows, issues): whole-file JSON objects of a declared schema; what doesn't parse becomes an issue."""
     typed = T.StructType.fromDDL(f"{schema}, _corrupt string")
     raw = spark.read.schema(typed).option("multiLine", True).option("columnNameOfCorruptRecord", "_corrupt").json(path).withColumn("path", F.input_file_name())
-    raw = raw.cache()
+    raw = Scratch(spark, "json").cut(raw, "objects")  # a corrupt column alone can't be read from JSON
     return raw.where("_corrupt is null").drop("_corrupt"), raw.where("_corrupt is not null").select("path", F.lit("BLOCKED").alias("severity"), F.lit("INVALID_JSON").alias("code"))
 
 

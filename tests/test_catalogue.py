@@ -5,7 +5,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from quirework import catalogue
+from quirework import catalogue, catalogue_plans  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
@@ -48,12 +48,12 @@ def test_notes_that_differ_after_their_beginning_are_not_repeated(spark, tmp_pat
     head = "One and the same opening of sixty characters, and then some more: "
     rows = [(1, head + "one"), (2, head + "two"), (3, head + "ONE!"), (4, "- " * 40 + head), (5, "* " * 40 + head)]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    assert sorted(r["pages"] for r in catalogue.QUERIES["repeated_notes_whole"](spark, str(tmp_path)).collect()) == [[1, 3], [4, 5]]
+    assert sorted(r["pages"] for r in catalogue.QUERIES["repeated_notes"](spark, str(tmp_path)).collect()) == [[1, 3], [4, 5]]
 
 
 def test_text_measures_fold_the_whole_text(spark, tmp_path):
     head = "one and the same opening of forty characters: "
     rows = [(1, head + "STRASSE"), (2, head + "straße"), (3, head + "strasse!")]
     spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r["doc_id"]: r["folded_sha256"] for r in catalogue.QUERIES["text_measures_whole"](spark, str(tmp_path)).collect()}
+    got = {r["doc_id"]: r["folded_sha256"] for r in catalogue.QUERIES["text_measures"](spark, str(tmp_path)).collect()}
     assert got[1] == got[2] != got[3]

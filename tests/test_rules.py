@@ -19,8 +19,8 @@ MEMBER = "component_id string, role string, policy string, translatability strin
 GOOD_MEMBER = dict(component_id="c", role="icon", policy="preserve", translatability="none", bbox=(0.0, 0.0, 1.0, 1.0))
 ALLOW = "token string, type string, reason string, scope_pages array<int>, pages array<int>, segment_ids array<string>, exact boolean, basis_type string, basis_reference string"
 GOOD_ALLOW = dict(token="USB", type="brand", reason="registered trade name", scope_pages=[1, 2], pages=[1], segment_ids=["s"], exact=True, basis_type="policy", basis_reference="r1")
-COLOUR = "source_colors array<int>, policy string, text_color array<double>, text_color_basis string"
-GOOD_COLOUR = dict(source_colors=[0xFF0000], policy="source_exact", text_color=[1.0, 0.0, 0.0], text_color_basis=None)
+COLOUR = "source_colors array<int>, policy string, text_color array<double>, text_color_basis string, action string, fragments array<struct<text_color:array<double>,text_color_basis:string>>"
+GOOD_COLOUR = dict(source_colors=[0xFF0000], policy="preserve_source_exact", text_color=[1.0, 0.0, 0.0], text_color_basis=None, action="replace", fragments=None)
 
 CASES = [
     (VISUAL, GOOD_VISUAL, lambda: rules.visual_rules(), {"visual_id": " ", "kind": "blob", "bbox": (0.0, 0.0, 0.0, 9.0), "pixel_width": 0, "decoded_sha256": "zz"}, ["VISUAL_ID", "VISUAL_KIND", "VISUAL_BBOX", "VISUAL_PIXEL_SIZE", "VISUAL_SHA256"]),
@@ -45,8 +45,21 @@ def test_each_change_gives_its_code(spark, schema, good, table, changes, want):
 def test_colour_changes(spark):
     wrong = tuple((GOOD_COLOUR | {"text_color": [0.0, 1.0, 0.0]}).values())
     assert codes(spark, COLOUR, wrong, rules.colour_rules()) == ["SOURCE_TEXT_COLOR_CHANGED"]
-    several = tuple((GOOD_COLOUR | {"source_colors": [1, 2], "text_color": None}).values())
-    assert codes(spark, COLOUR, several, rules.colour_rules()) == ["AMBIGUOUS_SOURCE_TEXT_COLOR"]
+    def found(**changes):
+        return codes(spark, COLOUR, tuple((GOOD_COLOUR | changes).values()), rules.colour_rules())
+
+    several = {"source_colors": [1, 2], "text_color": None}
+    assert found(**several) == ["AMBIGUOUS_SOURCE_TEXT_COLOR"]
+    assert found(**several, action="preserve") == []
+    assert found(**several, policy="fragment_source_exact") == ["AMBIGUOUS_SOURCE_TEXT_COLOR"]
+    assert found(**several, policy="fragment_source_exact", fragments=[([0.0, 0.0, 1.0], "inspected")]) == []
+    assert found(**several, policy="fragment_source_exact", fragments=[([0.0, 1.0], " ")]) == ["FRAGMENT_TEXT_COLOR", "FRAGMENT_TEXT_COLOR_BASIS"]
+    assert found(source_colors=[1, 2], policy="explicit_inspected") == ["TEXT_COLOR_BASIS"]
+    assert found(source_colors=[1, 2], policy="explicit_inspected", text_color_basis="seen at 300 dpi") == []
+    assert found(text_color=[0.0, 1.0, 0.0], policy="explicit_inspected", text_color_basis="seen") == []
+    assert found(source_colors=[], text_color=None) == ["SOURCE_TEXT_COLOR_MISSING"]
+    assert found(source_colors=[], text_color=None, policy="") == []
+    assert found(source_colors=[1, 1], policy=None, text_color=None) == []
 
 
 def test_segment_rules_by_stage(spark):
