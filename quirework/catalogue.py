@@ -553,9 +553,9 @@ b AS (SELECT doc, batch, bool_or(high) AS high FROM p GROUP BY 1, 2),
 w(doc, batch, wave, state) AS (
   SELECT doc, batch, 1, [{'n': 1, 'h': high}] FROM b WHERE batch = 1
   UNION ALL
-  SELECT doc, batch, at, CASE WHEN at > len(state) THEN list_append(state, {'n': 1, 'h': high})
-    ELSE list_transform(state, lambda x, k: CASE WHEN k = at THEN {'n': x.n + 1, 'h': x.h OR high} ELSE x END) END
-  FROM (SELECT b.doc, b.batch, b.high, w.state, CAST(coalesce(nullif(list_position(list_transform(w.state, lambda x: x.n < 4 AND NOT (x.h AND b.high)), true), 0), len(w.state) + 1) AS INTEGER) AS at
+  SELECT doc, batch, nth, CASE WHEN nth > len(state) THEN list_append(state, {'n': 1, 'h': high})
+    ELSE list_transform(state, lambda x, k: CASE WHEN k = nth THEN {'n': x.n + 1, 'h': x.h OR high} ELSE x END) END
+  FROM (SELECT b.doc, b.batch, b.high, w.state, CAST(coalesce(nullif(list_position(list_transform(w.state, lambda x: x.n < 4 AND NOT (x.h AND b.high)), true), 0), len(w.state) + 1) AS INTEGER) AS nth
     FROM w JOIN b ON b.doc = w.doc AND b.batch = w.batch + 1))
 SELECT p.doc, p.component, p.batch, p.over AS oversize, w.wave FROM p JOIN w USING (doc, batch)
 """)

@@ -13,8 +13,8 @@ from quirework.plans import extraction, integrity, rules
 
 # --- text lines of documents as spans: three lines make a block, each line is one span ---------------------------
 
-SPANS = """raw AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS at, x AS text FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE x <> ''),
-s AS (SELECT doc_id, CAST(at // 3 AS INTEGER) AS block, CAST(at % 3 AS INTEGER) AS line, text, CAST(10.1234567 AS DOUBLE) AS x0, CAST(12.0 * at AS DOUBLE) AS y0, CAST(10.1234567 + length(text) AS DOUBLE) AS x1, CAST(12.0 * at + 10 AS DOUBLE) AS y1 FROM raw)"""
+SPANS = """raw AS (SELECT doc_id, CAST(i - 1 AS INTEGER) AS nth, x AS text FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS x, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents) WHERE x <> ''),
+s AS (SELECT doc_id, CAST(nth // 3 AS INTEGER) AS block, CAST(nth % 3 AS INTEGER) AS line, text, CAST(10.1234567 AS DOUBLE) AS x0, CAST(12.0 * nth AS DOUBLE) AS y0, CAST(10.1234567 + length(text) AS DOUBLE) AS x1, CAST(12.0 * nth + 10 AS DOUBLE) AS y1 FROM raw)"""
 
 
 def raw_spans(spark, sf_dir) -> DataFrame:
@@ -34,7 +34,7 @@ def span_projection(spark, sf_dir):
 @query(f"""
 WITH {SPANS},
 b AS (SELECT doc_id, block, trim(string_agg(trim(text, ' '), ' ' ORDER BY line), ' ') AS source_text, count(*) AS n_spans, round(max(x1), 3) AS x1, round(max(y1), 3) AS y1 FROM s GROUP BY 1, 2)
-SELECT doc_id, 'auto-block-' || lpad(CAST(block AS VARCHAR), greatest(3, length(CAST(block AS VARCHAR))), '0') AS segment_key, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY block) AS INTEGER) AS reading_order,
+SELECT doc_id, 'auto-block-' || lpad(CAST(block AS VARCHAR), CAST(greatest(3, length(CAST(block AS VARCHAR))) AS INTEGER), '0') AS segment_key, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY block) AS INTEGER) AS reading_order,
   sha256(source_text) AS text_sha256, CAST(n_spans AS BIGINT) AS n_spans, x1, y1, 'replace' AS action, y1 AS mask_y1 FROM b
 """)
 def auto_segments(spark, sf_dir):
@@ -123,10 +123,10 @@ def route_histogram(spark, sf_dir):
     return extraction.histogram(table(spark, sf_dir, "orders").withColumnRenamed("o_orderpriority", "route"), "route")
 
 
-@query("SELECT l_orderkey, l_linenumber, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_linenumber) AS k FROM lineitem) WHERE k = 1")
+@query("SELECT l_orderkey, l_partkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC, l_partkey) AS k FROM lineitem) WHERE k = 1")
 def best_by_score(spark, sf_dir):
-    """The line of the largest quantity of each order, ties to the first."""
-    return extraction.best_by(table(spark, sf_dir, "lineitem"), ["l_orderkey"], F.col("l_quantity"), "l_linenumber", ["l_linenumber", "l_partkey"])
+    """The part of the largest quantity of each order, ties to the smallest."""
+    return extraction.best_by(table(spark, sf_dir, "lineitem"), ["l_orderkey"], F.col("l_quantity"), "l_partkey", ["l_partkey"])
 
 
 @query("SELECT p_partkey, 'PAGE_SIZE_CHANGED' AS code FROM part WHERE p_partkey % 7 = 0 OR p_partkey % 11 = 0")

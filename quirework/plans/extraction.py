@@ -46,7 +46,7 @@ def auto_segments(line_rows: DataFrame, page: list[str], joiner: str = " ") -> D
 def selected(refs: DataFrame, placed: DataFrame, page: list[str]) -> tuple[DataFrame, DataFrame]:
     """Spans that refs (page, ref_id, block, line, spans or null) name, and an issue for each ref that names none."""
     keys = [*page, "block", "line"]
-    wanted = refs.withColumn("_one", F.explode_outer("spans"))
+    wanted = refs.where(F.col("spans").isNull() | (F.size("spans") > 0)).withColumn("_one", F.explode_outer("spans"))
     hit = wanted.join(placed, keys).where(F.col("_one").isNull() | (F.col("_one") == F.col("span"))).drop("_one", "spans")
     known = placed.select(*keys).distinct().withColumn("_known", F.lit(True))
     missing = wanted.where("_one is not null").join(placed.select(*keys, F.col("span").alias("_one")).distinct(), [*keys, "_one"], "left_anti").select(*page, "ref_id").distinct().withColumn("_span", F.lit(True))
