@@ -4,11 +4,13 @@ import base64
 import contextlib
 import hashlib
 import io
+import random
 import struct
 import zipfile
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from quirework.llm import media, warczip
 
@@ -114,3 +116,35 @@ def test_warc_revisits(spark):
     key = lambda r: (r[0], r[1])
     assert sorted(((r["page_id"], r["payload_bytes"], r["payload_digest"], r["record_type"], r["refers_to"]) for r in got), key=key) == sorted(want, key=key)
     assert warczip.read(warczip.written(spark.createDataFrame([], "page_id long, url string, html string"))).count() == 0
+
+
+def plain_media(text):
+    """The stored form byte by byte: (n_bytes, payload, media)."""
+    raw = (text or "").encode()
+    payload = raw + b"\xff" * (-len(raw) % 576 if raw else 576)
+    cuts, start = [], 0
+    for end in range(1, len(payload) + 1):
+        rolling = sum(int(media.GEAR[payload[end - 1 - k]]) << k for k in range(min(16, end))) & 0xFFFF
+        if end - start >= 256 and (rolling >> 6 == 0 or end - start == 8192) or end == len(payload):
+            cuts.append((start, end))
+            start = end
+    head = b"QCDC\x01" + struct.pack("<QI", len(raw), len(cuts))
+    for a, b in cuts:
+        head += hashlib.sha256(payload[a:b]).digest() + struct.pack("<I", b - a)
+    return len(raw), payload, head + payload
+
+
+def test_media_equals_a_plain_version(spark):
+    rng = random.Random(12)
+    base = "".join(rng.choice("abcdefgh \né") for _ in range(9000))
+    rows = [(1, base), (2, "x" + base), (3, base), (3, base), (4, None), (5, "z" * 20_000), (6, "q" * 576), (7, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("media_bytes", F.lit("clash")).withColumn("head", F.lit(1))
+    got = sorted((tuple(r) for r in media.read(*media.written(docs)).collect()))
+    want = []
+    for doc, text in rows:
+        n, payload, stored = plain_media(text)
+        x = [b - 128 for b in payload]
+        crossings = sum((a >= 0) != (b >= 0) for a, b in zip(x, x[1:]))
+        feature = f"frames={len(x) // 576};mean={sum(x) * 100 // len(x)};power={sum(v * v for v in x) * 100 // len(x)};crossings={crossings}"
+        want.append((doc, n, len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-32:]), len(stored), hashlib.sha256(stored).hexdigest(), feature))
+    assert got == sorted(want)

@@ -3,9 +3,11 @@
 import random
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from quirework.llm import _text as tx
 from quirework.llm import langid, mixing, sharding, toxicity, urlfilter
 
 SYLLABLES = {"aa": ["the", "ing", "tion", "and"], "bb": ["ung", "sch", "keit", "über"], "cc": ["ción", "ñ", "que", "los"]}
@@ -51,6 +53,32 @@ def test_out_of_place_distance_equals_a_plain_version():
         assert got == want
 
 
+def test_nearest_profile_equals_a_plain_version(spark):
+    rng = random.Random(9)
+    rows = [(i, lang := rng.choice(list(SYLLABLES)), text_in(rng, lang)) for i in range(60)] + [(100, "aa", None), (101, None, "x")]
+    fitted = langid.fit(spark.createDataFrame(rows, "doc_id long, lang string, text string"), size=50)
+    sums = {}
+    for _, lang, text in rows:
+        if lang:
+            codes, n = langid.grams(text)
+            sums.setdefault(lang, Counter()).update(dict(zip(codes.tolist(), n.tolist())))
+
+    def ranked(counts):
+        return {c: r for r, (c, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0]))[:50])}
+
+    want = {lang: ranked(c) for lang, c in sums.items()}
+    assert {k: {c: r for r, c in enumerate(v.tolist())} for k, v in fitted.items()} == want
+    profiles = langid.Profiles(fitted, 50)
+    for text in [text_in(rng, lang, n) for lang in SYLLABLES for n in (1, 3, 200)] + ["zz", "the ung ción"]:
+        codes, n = langid.grams(text)
+        own = ranked(dict(zip(codes.tolist(), n.tolist())))
+        far = {lang: sum(abs(r - p[c]) if c in p else 50 for c, r in own.items()) for lang, p in want.items()}
+        name = min(sorted(far), key=far.get)
+        assert profiles.judge(text) == (name, pytest.approx(1 - far[name] / (50 * len(own))))
+    alike = langid.Profiles({"b": fitted["aa"], "a": fitted["aa"]}, 50)
+    assert alike.judge("the tion")[0] == "a"  # ties go to the smaller name
+
+
 def test_language_without_training_rows(spark):
     profiles = langid.fit(spark.createDataFrame([], "doc_id long, lang string, text string"))
     out = langid.identify(spark.createDataFrame([(1, "some text")], "doc_id long, text string"), profiles).collect()
@@ -97,6 +125,38 @@ def test_marginals_equal_forward_backward_over_every_word():
         assert f.marginals(at, np.array([w for w in seq if w]), len(seq)) == pytest.approx(want)
 
 
+def test_toxic_scores_equal_a_plain_version(spark):
+    import numpy as np
+
+    model = toxicity.fit(spark.createDataFrame(toxic_rows(3, 200), "doc_id long, text string, toxic int"))
+    rows = [(i, text) for i, text, _ in toxic_rows(8, 25)] + [(100, "vile " * 300), (101, "vile"), (102, None), (103, "word " * 5000 + "nasty rotten vile")]
+    got = {r["doc_id"]: r["score"] for r in toxicity.score(spark.createDataFrame(rows * 2, "doc_id long, text string").withColumn("spans", F.lit(0)), model).collect()}
+    for doc, text in rows:
+        data, offsets = tx.flat(pa.array([text or ""]))
+        w = tx.words_of(data, offsets, 0, 1, tx.ALNUM)
+        symbols = toxicity.symbols(w, model.keys, model.held, model.rank)
+        forward, total, steps = None, 0.0, []
+        for s in symbols:  # every word, in logs
+            e = model.scores[s]
+            forward = model.start + e if forward is None else np.logaddexp(forward[0] + model.move[0], forward[1] + model.move[1]) + e
+            steps.append(forward)
+        back = np.zeros(2)
+        for i in range(len(symbols) - 1, -1, -1):
+            p = np.exp(steps[i] + back - np.logaddexp(*(steps[i] + back)))
+            total += -np.log(max(1 - p[1], 1e-12)) if symbols[i] else 0.0
+            n = model.scores[symbols[i]] + back
+            back = np.array([np.logaddexp(*(model.move[j] + n)) for j in range(2)])
+        assert got[doc] == pytest.approx(1 / (1 + np.exp(-(model.slope * total + model.level))), abs=1e-6)
+
+
+def test_copies_neither_make_nor_hide_a_toxic_word():
+    clean = [(0, [1], [n]) for n in range(40)]
+    copies = [(1, [7, 8], [5, 5])] * 50  # one text, fifty times
+    spread = [(1, [9], [n]) for n in range(30)]
+    assert toxicity.offending(clean + copies + spread) == [9]
+    assert toxicity.offending(clean + copies + [(1, [7], [n]) for n in range(30)]) == [7]
+
+
 def test_toxicity_without_both_classes(spark):
     model = toxicity.fit(spark.createDataFrame([(1, "a b", 0)], "doc_id long, text string, toxic int"))
     assert toxicity.score(spark.createDataFrame([(1, "a b")], "doc_id long, text string"), model).collect()[0]["score"] < 0.01
