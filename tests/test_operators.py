@@ -116,13 +116,13 @@ def test_fit_and_wrap(spark):
 
 def test_content_paths(spark):
     good = b"q 2 0 0 2 1 1 cm % note\n0.5 w [3 1] 0 d 0 0 m 10 0 l 10 5 10 10 y h S Q 1 0 0 RG 5 5 20 10 re W n BT (x\\)y) Tj ET 1 1 3 3 re f*"
-    rows = [("a", 1, 7, good), ("b", 1, 7, b"0 0 m 1 w 2 2 l S"), ("c", 1, 7, b"Q"), ("d", 1, 7, b"0 m S"), ("e", 1, 7, b"0 0 m 1 1 l"), ("f", 1, 7, b"(open"), ("g", 1, 7, b"q"), ("h", 1, 7, b"W n"), ("i", 1, 7, None)]
+    rows = [("a", 1, 7, good), ("b", 1, 7, b"0 0 m 1 w 2 2 l S"), ("c", 1, 7, b"Q"), ("d", 1, 7, b"0 m S"), ("e", 1, 7, b"0 0 m 1 1 l"), ("f", 1, 7, b"(open"), ("g", 1, 7, b"q"), ("h", 1, 7, b"W n S"), ("i", 1, 7, None), ("j", 1, 7, b"1 q Q"), ("k", 1, 7, b"q 1 Q"), ("l", 1, 7, b"0 0 m 1 1 l W W n")]
     got = content_stream.content_paths(spark.createDataFrame(rows, "doc_id string, page int, xref int, content binary")).collect()
     a = [r for r in got if r["doc_id"] == "a"]
     assert [(r["path_index"], r["paint"], r["clip"], [o["op"] for o in r["ops"]]) for r in a] == [(0, "S", None, ["m", "l", "y", "h"]), (1, "n", "W", ["re"]), (2, "f*", None, ["re"])]
     assert a[0]["ctm"] == [2, 0, 0, 2, 1, 1] and a[1]["ctm"] == [1, 0, 0, 1, 0, 0] and json.loads(a[0]["style"])["w"] == [0.5]
     codes = {r["doc_id"]: r["code"] for r in got if r["doc_id"] != "a"}
-    assert codes == {"b": "CONTENT_PATH_INTERWOVEN_OPERATOR", "c": "GRAPHICS_STATE_STACK_MALFORMED", "d": "CONTENT_PATH_OPERATOR_MALFORMED", "e": "CONTENT_PATH_UNTERMINATED", "f": "CONTENT_STREAM_PARSE_FAILED", "g": "GRAPHICS_STATE_STACK_MALFORMED", "h": "CONTENT_PATH_CLIP_MALFORMED"}
+    assert codes == {"b": "CONTENT_PATH_INTERWOVEN_OPERATOR", "c": "GRAPHICS_STATE_STACK_MALFORMED", "d": "CONTENT_PATH_OPERATOR_MALFORMED", "e": "CONTENT_PATH_UNTERMINATED", "f": "CONTENT_STREAM_PARSE_FAILED", "g": "GRAPHICS_STATE_STACK_MALFORMED", "j": "GRAPHICS_STATE_OPERATOR_MALFORMED", "k": "GRAPHICS_STATE_STACK_MALFORMED", "l": "CONTENT_PATH_CLIP_MALFORMED"}
     paths = content_stream.content_paths(spark.createDataFrame(rows[:1], "doc_id string, page int, xref int, content binary"))
     plan = drawings.removal_plan(paths, spark.createDataFrame([("a", 1, 7, 0), ("a", 1, 7, 1)], "doc_id string, page int, xref int, path_index int")).collect()
     assert {r["path_index"]: (r["code"], r["step"]) for r in plan} == {0: (None, 2), 1: ("CONTENT_PATH_CLIP_REPLACEMENT_FORBIDDEN", 1)}
