@@ -5,6 +5,7 @@ from collections import Counter
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm import brute
@@ -57,3 +58,29 @@ def test_each_stage_on_its_own_input(spark, sf_dir):
 def test_run_gives_the_last_stage(spark, sf_dir):
     a, b = (sorted((r["doc_id"], r["shard"]) for r in corpus_pipeline.run(spark, sf_dir).collect()) for _ in range(2))
     assert a == b and len(a) > 0
+
+
+CLASHES = ("lang_pred", "score", "spans", "n_words", "items", "size", "target", "copies", "weight", "n", "rep", "comp")
+
+
+def test_stages_with_clashing_columns_and_repeated_rows(spark, sf_dir):
+    rows = [(1, "some words of a text that stand here", "en", "s", 1), (1, "some words of a text that stand here", "en", "s", 1), (1, "another text under the same id, longer than it", "en", "s", 1), (2, "some words of a text that stand here", "en", "s", 1), (3, "und noch ein anderer Text dazu", "de", None, 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for c in CLASHES:
+        docs = docs.withColumn(c, F.lit(f"own {c}"))
+    for name, stage in corpus_pipeline.STAGES[:4]:
+        got = stage(spark, docs, sf_dir)
+        assert got.columns == docs.columns
+        out = got.collect()
+        assert all(r[c] == f"own {c}" for r in out for c in CLASHES), name
+        if name == "ngram_jaccard":  # id 1 links with 2; one of its rows stays
+            assert sorted((r["doc_id"], r["text"]) for r in out) == [(1, rows[2][1]), (3, rows[4][1])]
+        if name in ("language", "decontaminate"):
+            assert len(out) == 5
+    assert corpus_pipeline.STAGES[4][1](spark, docs, sf_dir).count() == 5
+
+
+def test_stages_of_an_empty_table(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").limit(0)
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, sf_dir).count() == 0
