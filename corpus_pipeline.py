@@ -14,29 +14,48 @@ from quirework.sources.scratch import Scratch
 from quirework.llm.queries import remainder
 
 
+def aside(docs: DataFrame, *names: str) -> DataFrame:
+    """Columns that a stage has names for under other names."""
+    return docs.withColumnsRenamed({c: f"_own_{c}" for c in names if c in docs.columns})
+
+
+def back(df: DataFrame, columns: list[str]) -> DataFrame:
+    return df.select(*[F.col(f"_own_{c}").alias(c) if f"_own_{c}" in df.columns else F.col(c) for c in columns])
+
+
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language: those without letters or text go."""
     profiles = langid.fit(docs.where(remainder("doc_id", 5) != 0).select("doc_id", "lang", "text"))
-    return langid.identify(docs, profiles).where(F.col("lang_pred") != langid.UNKNOWN).select(*docs.columns)
+    judged = langid.identify(aside(docs, "lang_pred", "score"), profiles)
+    return back(judged.where(F.col("lang_pred") != langid.UNKNOWN), docs.columns)
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that 5-word shingles link at a Jaccard similarity of 0.75, the one with the smallest id."""
-    groups = jaccard_join.neardup(docs)
-    others = Scratch(spark, "pipeline").cut(groups.where("doc_id <> component_id").select("doc_id").distinct(), "others")
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """Of documents that 5-word shingles link at a Jaccard similarity of 0.75, the one with the smallest id; of rows that
+    repeat an id, that with the smallest text."""
+    groups, scratch = jaccard_join.neardup(docs), Scratch(spark, "pipeline")
+    ids = groups.groupBy("doc_id").agg(F.count("*").alias("_rows"), F.bool_or(F.coalesce(F.col("doc_id") != F.col("component_id"), F.lit(False))).alias("_goes"))
+    told = scratch.cut(ids.where("doc_id is not null and (_goes or _rows > 1)"), "told")
+    others, repeated = told.where("_goes").select("doc_id"), told.where("not _goes").select("doc_id")
+    kept = docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    if not repeated.head(1):
+        return kept
+    order = ["text", *[c for c in docs.columns if c not in ("doc_id", "text")]]
+    one = kept.join(repeated, "doc_id", "left_semi").groupBy("doc_id").agg(F.min(F.struct(*order)).alias("_row")).select("doc_id", "_row.*").select(*docs.columns)
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in which no benchmark window occurs."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.decontaminate(docs, benchmark).where(F.size("spans") == 0).select(*docs.columns)
+    judged = decontaminate.decontaminate(aside(docs, *decontaminate.RESULT.names), benchmark)
+    return back(judged.where(F.size("spans") == 0), docs.columns)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
-    columns = docs.columns
-    return mixing.emitted(mixing.mix(docs.withColumn("size", mixing.n_words(F.col("text"))))).select(*columns)
+    named = aside(docs, "size", "source_size", "target", "copies", "taken", "weight")
+    return back(mixing.emitted(mixing.mix(named.withColumn("size", mixing.n_words(F.col("text"))))), docs.columns)
 
 
 def sharded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
