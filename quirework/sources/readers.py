@@ -6,8 +6,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quirework.functions.text import folded
 from quirework.sources.scratch import Scratch
 
+#: Fixed value: the name that strict allowlists declare.
+ALLOWLIST_SCHEMA = "english-allowlist/v3"
 GLOSSARY = T.StructType([T.StructField(n, T.StringType()) for n in ("id", "source", "target", "notes")])
 
 
@@ -32,6 +35,32 @@ def legacy_allowlist(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(kind.alias("kind"), F.when(line.startswith("re:"), F.substring(line, 4, 1 << 30)).otherwise(line).alias("token"))
 
 
+def glossary_issues(rows: DataFrame) -> DataFrame:
+    """(layer, id, code) of glossary rows without id, source or target, and of ids and folded sources that repeat."""
+    blank = F.lit(False)
+    for c in ("id", "source", "target"):
+        blank |= F.coalesce(F.trim(F.col(c)), F.lit("")) == ""
+    empty = rows.where(blank).select("layer", "id", F.lit("GLOSSARY_FIELD_EMPTY").alias("code"))
+
+    def repeated(key: Column, code: str) -> DataFrame:
+        twice = rows.withColumn("_key", key).groupBy("layer", "_key").agg(F.count("*").alias("_n"), F.min("id").alias("id")).where("_n > 1 and _key <> ''")
+        return twice.select("layer", "id", F.lit(code).alias("code"))
+
+    return empty.unionByName(repeated(F.col("id"), "GLOSSARY_DUPLICATE_ID")).unionByName(repeated(folded(F.trim("source")), "GLOSSARY_DUPLICATE_SOURCE"))
+
+
+def scoped_allowlist(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(tokens by page, issues) of strict JSON allowlists: every entry holds for the pages of its scope alone."""
+    entry = "array<struct<token:string,source_text:string,scope:struct<pages:array<int>>>>"
+    rows, issues = json_objects(spark, path, f"`schema` string, allowed {entry}, allowed_ui_english {entry}, allowed_visual_english {entry}")
+    wrong = rows.where(~F.col("schema").eqNullSafe(F.lit(ALLOWLIST_SCHEMA))).select("path", F.lit("BLOCKED").alias("severity"), F.lit("ALLOWLIST_SCHEMA").alias("code"))
+    lists = [F.coalesce(c, F.array().cast(entry)) for c in ("allowed", "allowed_ui_english", "allowed_visual_english")]
+    each = rows.where(F.col("schema") == ALLOWLIST_SCHEMA).select("path", F.explode(F.concat(*lists)).alias("e"))
+    words = F.regexp_extract_all(F.coalesce("e.token", "e.source_text"), F.lit("[A-Za-z]+"), F.lit(0))
+    tokens = each.select("path", F.explode("e.scope.pages").alias("page"), words.alias("w")).select("path", "page", F.explode("w").alias("token"))
+    return tokens.select("path", "page", folded(F.col("token")).alias("token")).distinct(), issues.unionByName(wrong)
+
+
 def page_ranges(expression: Column, pages: Column) -> Column:
     """``1,3-5`` as sorted distinct pages; null where it is malformed, reversed or beyond the document."""
     parts = F.transform(F.split(expression, ","), lambda p: F.trim(p))

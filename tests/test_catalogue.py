@@ -5,7 +5,7 @@ from pathlib import Path
 import duckdb
 import pytest
 
-from quirework import catalogue, catalogue_parts, catalogue_plans  # noqa: F401
+from quirework import catalogue, catalogue_files, catalogue_parts, catalogue_plans  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 TABLES = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
