@@ -147,6 +147,54 @@ def elapsed_times(spark, sf_dir):
     return table(spark, sf_dir, "orders").select("o_orderkey", extraction.elapsed_seconds(F.lit("2024-05-01T09:11:00Z"), ended).alias("seconds"))
 
 
+@query(f"""
+WITH {SPANS} SELECT doc_id, CAST(count(*) AS BIGINT) AS spans, CAST(count(*) FILTER (block % 2 = 0) AS BIGINT) AS taken, CAST(count(*) FILTER (line = 2) AS BIGINT) AS ignored, CAST(count(*) FILTER (block % 2 = 1 AND line < 2) AS BIGINT) AS unassigned FROM s GROUP BY 1
+""")
+def span_coverage(spark, sf_dir):
+    s = extraction.spans(raw_spans(spark, sf_dir))
+    return extraction.coverage_counts(s, s.where("block % 2 = 0"), s.where("line = 2"), ["doc_id"])
+
+
+@query("""
+WITH l AS (SELECT DISTINCT l_orderkey, l_linenumber, l_quantity AS w FROM lineitem WHERE l_linenumber = 1 OR l_linenumber = 2 QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_quantity) = 1),
+n AS (SELECT *, count(*) OVER (PARTITION BY l_orderkey) AS n, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber) - 1 AS i FROM l)
+SELECT l_orderkey, l_linenumber, round(CAST(10 + CASE l_orderkey % 3 WHEN 1 THEN (90 - w) / 2.0 WHEN 2 THEN 90 - w ELSE 0 END AS DOUBLE), 6) AS x, round(CAST(20 + i * 14.16 + CASE l_orderkey % 2 WHEN 1 THEN (80 - n * 14.16) / 2.0 ELSE 0 END AS DOUBLE), 6) AS y FROM n
+""")
+def line_layout(spark, sf_dir):
+    """The first two lines of an order as lines of a text, aligned three ways in a box of 90 by 80."""
+    from pyspark.sql import Window
+
+    k = F.col("l_orderkey")
+    w = Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_quantity")
+    l = table(spark, sf_dir, "lineitem").where("l_linenumber in (1, 2)").withColumn("_r", F.row_number().over(w)).where("_r = 1").select("l_orderkey", "l_linenumber", F.col("l_quantity").cast("double").alias("w"))  # noqa: E741
+    box = g.box(*[F.lit(v) for v in (10.0, 20.0, 100.0, 100.0)])
+    out = extraction.line_layout(l, ["l_orderkey"], "l_linenumber", "w", box, F.when(k % 3 == 1, "center").when(k % 3 == 2, "right").otherwise("left"), F.when(k % 2 == 1, "middle").otherwise("top"), F.lit(14.16))
+    return out.select("l_orderkey", "l_linenumber", "x", "y")
+
+
+@query("SELECT c_custkey, CAST(coalesce(max(o_orderkey), 0) AS BIGINT) AS largest FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1")
+def largest_or_zero(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), F.col("o_orderkey").cast("long").alias("o_orderkey"))
+    return extraction.largest(rows, table(spark, sf_dir, "customer").select("c_custkey"), ["c_custkey"], "o_orderkey")
+
+
+@query("SELECT p_partkey, p_partkey % 3 = 0 AND p_partkey % 2 < 2 AS protected FROM part")
+def protected_backgrounds(spark, sf_dir):
+    """Components of parts: a background with one of two policies, or only an icon."""
+    k = F.col("p_partkey")
+    member = F.struct(F.when(k % 3 == 0, "background").otherwise("icon").alias("role"), F.when(k % 2 == 0, "preserve").otherwise("adjust_background").alias("policy"))
+    return table(spark, sf_dir, "part").select("p_partkey", extraction.has_protected_background(F.array(member)).alias("protected"))
+
+
+@query("SELECT o_custkey AS doc, o_orderkey AS segment_id, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_shippriority, o_orderdate, o_orderkey) AS INTEGER) AS nth FROM (SELECT *, o_orderkey % 3 AS o_shippriority FROM (SELECT o_custkey, o_orderkey, o_orderdate FROM orders))")
+def segment_order(spark, sf_dir):
+    """Orders as segments, by page, reading order and id; their places within the document."""
+    from quirework.operators import ordered
+
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("doc"), F.col("o_orderkey").alias("segment_id"), (F.col("o_orderkey") % 3).alias("page"), F.col("o_orderdate").alias("reading_order"))
+    return ordered.numbered(extraction.in_order(o, "doc"), ["doc"], ["page", "reading_order", "segment_id"], "nth").select("doc", "segment_id", "nth")
+
+
 # --- nested JSON --------------------------------------------------------------------------------------------------
 
 

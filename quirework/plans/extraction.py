@@ -129,3 +129,38 @@ def elapsed_seconds(began: Column, ended: Column) -> Column:
     at = lambda c: F.when(c.rlike(offset), F.unix_micros(F.try_to_timestamp(c)))
     gap = (at(ended) - at(began)) / 1e6
     return F.when(gap >= 0, gap)
+
+
+def coverage_counts(refs: DataFrame, selected_refs: DataFrame, ignored: DataFrame, keys: list[str], ref: str = "ref") -> DataFrame:
+    """Spans of each document: all, taken by segments, ignored by name, and left over."""
+    taken = selected_refs.select(*keys, ref).distinct().withColumn("_taken", F.lit(True))
+    out = ignored.select(*keys, ref).distinct().withColumn("_ignored", F.lit(True))
+    both = refs.select(*keys, ref).distinct().join(taken, [*keys, ref], "left").join(out, [*keys, ref], "left")
+    left = F.col("_taken").isNull() & F.col("_ignored").isNull()
+    return both.groupBy(*keys).agg(F.count("*").alias("spans"), F.count("_taken").alias("taken"), F.count("_ignored").alias("ignored"), F.count_if(left).alias("unassigned"))
+
+
+def line_layout(lines: DataFrame, keys: list[str], ordinal: str, width: str, box: Column, align: Column, valign: Column, height: Column) -> DataFrame:
+    """Where the lines of a text stand in their box: top plus line heights, shifted by both alignments."""
+    group = Window.partitionBy(*keys)
+    i = F.row_number().over(group.orderBy(ordinal)) - 1
+    room = g.height(box) - F.count("*").over(group) * height
+    top = box["y0"] + F.when(valign == "middle", room / 2).when(valign == "bottom", room).otherwise(0.0)
+    gap = g.width(box) - F.col(width)
+    left = box["x0"] + F.when(align == "center", gap / 2).when(align == "right", gap).otherwise(0.0)
+    return lines.withColumns({"x": F.round(left, 6), "y": F.round(top + i * height, 6)})
+
+
+def has_protected_background(members: Column) -> Column:
+    """Whether a component declares a background that stays or is adjusted."""
+    return F.exists(members, lambda m: (m["role"] == "background") & m["policy"].isin("preserve", "adjust_background"))
+
+
+def in_order(segments: DataFrame, doc: str) -> DataFrame:
+    """Segments by page, reading order and id, as artefacts list them."""
+    return segments.orderBy(doc, "page", "reading_order", "segment_id")
+
+
+def largest(rows: DataFrame, groups: DataFrame, keys: list[str], value: str) -> DataFrame:
+    """The largest value of each group, 0 for one without rows."""
+    return groups.join(rows.groupBy(*keys).agg(F.max(value).alias("largest")), keys, "left").withColumn("largest", F.coalesce("largest", F.lit(0)))
