@@ -367,3 +367,41 @@ def box_unions(spark, sf_dir):
     q, n = F.col("l_quantity").cast("double"), F.col("l_linenumber").cast("double")
     rows = table(spark, sf_dir, "lineitem").select("l_orderkey", g.box(q, n, q + 5, n + 1).alias("bbox"))
     return aggregates.box_union(rows, ["l_orderkey"]).select("l_orderkey", "bbox.x0", "bbox.y0", "bbox.x1", "bbox.y1")
+
+
+@query("""
+SELECT o_orderkey AS batch, 'plan_digest' AS id, 'REQUEST_BINDING_MISMATCH' AS code FROM orders WHERE o_orderkey % 4 = 0
+UNION ALL SELECT o_orderkey, 'batch_digest', 'REQUEST_BINDING_MISMATCH' FROM orders WHERE o_orderkey % 6 = 0
+""")
+def request_bindings(spark, sf_dir):
+    """Orders as batch requests; some repeat another plan or batch digest."""
+    k = F.col("batch")
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("batch"))
+    same = {f: F.lit(f) for f in integrity.REQUEST_FIELDS}
+    expected = o.withColumns(same | {"source_manifest_sha256": F.lit(None).cast("string")})
+    found = expected.withColumns({"plan_digest": F.when(k % 4 == 0, "x").otherwise("plan_digest"), "batch_digest": F.when(k % 6 == 0, F.lit(None)).otherwise("batch_digest")})
+    return integrity.binding_issues(expected, found, integrity.REQUEST_FIELDS, "batch", "REQUEST")
+
+
+@query("""
+WITH s AS (SELECT DISTINCT l_orderkey AS batch, l_partkey AS seg FROM lineitem WHERE l_orderkey % 3 > 0)
+SELECT DISTINCT batch, CAST(batch AS VARCHAR) AS id, 'RESULT_STATUS' AS code FROM s WHERE batch % 5 = 0
+UNION ALL SELECT DISTINCT batch, CAST(batch AS VARCHAR), 'RESULT_TIMING' FROM s WHERE batch % 7 = 0
+UNION ALL SELECT batch, CAST(seg AS VARCHAR), 'RESULT_SEGMENT_MISSING' FROM s WHERE seg % 11 = 0
+UNION ALL SELECT batch, CAST(seg + 1000000 AS VARCHAR), 'RESULT_SEGMENT_UNEXPECTED' FROM s WHERE seg % 13 = 0 AND seg % 11 > 0
+UNION ALL SELECT batch, CAST(seg AS VARCHAR), 'RESULT_SOURCE_STALE' FROM s WHERE seg % 17 = 0 AND seg % 11 > 0 AND seg % 13 > 0
+UNION ALL SELECT batch, CAST(seg AS VARCHAR), 'RESULT_TRANSLATION_EMPTY' FROM s WHERE seg % 19 = 0 AND seg % 2 = 0 AND seg % 11 > 0 AND seg % 13 > 0
+UNION ALL SELECT batch, CAST(seg AS VARCHAR), 'RESULT_TOKEN_MISSING' FROM s WHERE seg % 19 = 0 AND seg % 11 > 0 AND seg % 13 > 0
+UNION ALL SELECT batch, CAST(seg AS VARCHAR), 'RESULT_ASSERTION_COVERAGE' FROM s WHERE seg % 23 = 0 AND seg % 11 > 0 AND seg % 13 > 0
+UNION ALL SELECT batch, CAST(seg AS VARCHAR), 'RESULT_SEGMENT_MISSING' FROM s WHERE seg % 13 = 0 AND seg % 11 > 0
+""")
+def result_bindings(spark, sf_dir):
+    """Orders as batches that own their parts; two of three have results, with faults by part number."""
+    seg, batch = F.col("segment_id"), F.col("batch")
+    owned = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("batch"), F.col("l_partkey").alias("segment_id")).distinct().withColumns({"source_digest": F.lit("d"), "action": F.when(seg % 2 == 0, "replace").otherwise("preserve")})
+    done = owned.where("batch % 3 > 0")
+    results = done.select("batch").distinct().select("batch", F.when(batch % 5 == 0, "DRAFT").otherwise("TRANSLATED").alias("status"), F.when(batch % 7 == 0, -1.0).otherwise(2.5).alias("elapsed"))
+    back = done.where("segment_id % 11 <> 0").select("batch", F.when(seg % 13 == 0, seg + 1000000).otherwise(seg).alias("segment_id"), F.when(seg % 17 == 0, "old").otherwise("d").alias("source_digest"), F.when(seg % 19 == 0, " ").otherwise("keep 5 V").alias("target_text"))
+    needed = owned.select("batch", "segment_id", F.lit("5 V").alias("token"), F.lit(1).alias("required"))
+    bound = owned.select("batch", "segment_id", F.lit("b").alias("binding_id"))
+    return integrity.result_issues(results, owned, back, needed, bound, bound.where("segment_id % 23 <> 0"), "batch")

@@ -196,3 +196,52 @@ def precondition_issues(manifests: DataFrame, reports: DataFrame, segments: Data
 def issue_counts(issues: DataFrame, keys: list[str]) -> DataFrame:
     """Blocking and review issues, and distinct codes, of each document."""
     return issues.groupBy(*keys).agg(F.count_if(F.col("severity") == "BLOCKED").alias("blocking"), F.count_if(F.col("severity") == "NEEDS_REVIEW").alias("needs_review"), F.countDistinct("code").alias("codes"))
+
+# What a request and a result repeat of the plan.
+REQUEST_FIELDS = ("schema", "plan_sha256", "plan_digest", "source_manifest_sha256", "batch_id", "batch_digest")
+RESULT_FIELDS = ("plan_sha256", "plan_digest", "source_manifest_sha256", "batch_id", "batch_digest", "request_sha256")
+
+
+def binding_issues(expected: DataFrame, found: DataFrame, fields: tuple[str, ...], key: str, prefix: str) -> DataFrame:
+    """(key, id, code): fields of artefacts that differ from what the plan expects; nulls equal each other."""
+    both = expected.select(key, F.struct(*[F.col(f).cast("string").alias(f) for f in fields]).alias("e")).join(found.select(key, F.struct(*[F.col(f).cast("string").alias(f) for f in fields]).alias("f")), key)
+    wrong = F.filter(F.array(*[F.when(~F.col(f"e.{f}").eqNullSafe(F.col(f"f.{f}")), F.lit(f)) for f in fields]), lambda x: x.isNotNull())
+    return both.select(key, F.explode(wrong).alias("id")).select(key, "id", F.lit(f"{prefix}_BINDING_MISMATCH").alias("code"))
+
+
+def result_issues(results: DataFrame, owned: DataFrame, translations: DataFrame, requirements: DataFrame, bindings: DataFrame, assertions: DataFrame, key: str) -> DataFrame:
+    """(key, id, code) of batch results against what their batches own.
+
+    results(key, status, elapsed); owned(key, segment_id, source_digest, action); translations(key, segment_id,
+    source_digest, target_text); requirements(key, segment_id, token, required); bindings and assertions(key,
+    segment_id, binding_id).
+    """
+    c = F.col
+    say = lambda df, name, code: df.select(key, c(name).cast("string").alias("id"), F.lit(code).alias("code"))
+    pair = [key, "segment_id"]
+    done = results.select(key)
+    mine, theirs = owned.join(done, key, "left_semi"), translations.join(done, key, "left_semi")
+    both = mine.join(theirs.select(*pair, c("source_digest").alias("_digest"), c("target_text").alias("_text")), pair)
+    text = F.coalesce("_text", F.lit(""))
+    count = F.when(F.length("token") > 0, (F.length(text) - F.length(F.replace(text, c("token"), F.lit("")))) / F.length("token")).otherwise(0)
+    ids = [*pair, "binding_id"]
+    told = assertions.join(both.select(*pair).distinct(), pair, "left_semi")
+    want = bindings.join(both.select(*pair).distinct(), pair, "left_semi")
+    apart = want.select(*ids).distinct().withColumn("_w", F.lit(1)).join(told.select(*ids).distinct().withColumn("_t", F.lit(1)), ids, "full_outer")
+    elapsed = c("elapsed").isNotNull() & (F.isnan(c("elapsed").cast("double")) | (c("elapsed") < 0) | (c("elapsed") == float("inf")))
+    out = [
+        say(results.where(~c("status").eqNullSafe(F.lit("TRANSLATED"))), key, "RESULT_STATUS"),
+        say(results.where(elapsed), key, "RESULT_TIMING"),
+        say(theirs.groupBy(*pair).count().where("count > 1"), "segment_id", "RESULT_DUPLICATE_SEGMENT"),
+        say(mine.join(theirs, pair, "left_anti"), "segment_id", "RESULT_SEGMENT_MISSING"),
+        say(theirs.join(mine, pair, "left_anti").select(*pair).distinct(), "segment_id", "RESULT_SEGMENT_UNEXPECTED"),
+        say(both.where(~c("source_digest").eqNullSafe(c("_digest"))), "segment_id", "RESULT_SOURCE_STALE"),
+        say(both.where(~c("action").eqNullSafe(F.lit("preserve")) & blank(c("_text"))), "segment_id", "RESULT_TRANSLATION_EMPTY"),
+        say(both.join(requirements, pair).where(count < c("required")).select(*pair).distinct(), "segment_id", "RESULT_TOKEN_MISSING"),
+        say(told.groupBy(*ids).count().where("count > 1").select(*pair).distinct(), "segment_id", "RESULT_DUPLICATE_ASSERTION"),
+        say(apart.where("_w is null or _t is null").select(*pair).distinct(), "segment_id", "RESULT_ASSERTION_COVERAGE"),
+    ]
+    all_ = out[0]
+    for x in out[1:]:
+        all_ = all_.unionByName(x)
+    return all_
