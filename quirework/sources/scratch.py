@@ -1,7 +1,8 @@
 """Tables that cut lineage, in the folder that the session names in spark.checkpoint.dir.
 
 A cut table is written once as Parquet, so a lost executor costs a reread and never a recomputation of what came
-before, and a plan that uses it twice doesn't run twice.
+before, and a plan that uses it twice doesn't run twice.  Operators drop tables that they are done with; those that a
+result still reads go when the driver's JVM ends.
 """
 
 from __future__ import annotations
@@ -42,6 +43,10 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.top, self.paths = spark, f"{folder(spark)}/{name}-{uuid.uuid4().hex}", {}
+        top = spark._jvm.org.apache.hadoop.fs.Path(self.top)
+        system = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        system.mkdirs(top)
+        system.deleteOnExit(top)
 
     def cut(self, df: DataFrame, name: str, **options) -> DataFrame:
         path = f"{self.top}/{name}"

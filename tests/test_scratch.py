@@ -3,6 +3,7 @@
 import os
 import subprocess
 import sys
+import time
 from pathlib import Path
 
 from quirework.sources.scratch import Scratch
@@ -28,6 +29,19 @@ def test_without_a_configured_folder(tmp_path):
     assert folder and not Path(folder).exists()  # gone at exit
 
 
+def test_tables_go_with_the_driver(tmp_path):
+    root = str(Path(__file__).resolve().parents[1])
+    code = ALONE.format(root=root).replace("assert spark.conf.get", "s = Scratch(spark, 'x') or spark.conf.get").replace(" is None", "")
+    code = code.replace('.config("spark.ui.enabled"', f'.config("spark.checkpoint.dir", "file://{tmp_path}/shared").config("spark.ui.enabled"')
+    run = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, timeout=300)
+    assert run.returncode == 0, run.stderr[-2000:]
+    for _ in range(50):
+        if not list((tmp_path / "shared").glob("alone-*")):
+            break
+        time.sleep(0.2)
+    assert not list((tmp_path / "shared").glob("alone-*"))
+
+
 def test_dropped_tables_are_gone(spark):
     s = Scratch(spark, "dropped")
     df = s.cut(spark.range(3), "a")
