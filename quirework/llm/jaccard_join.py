@@ -298,6 +298,12 @@ def close(a: str, b: str) -> Column:
     return (UNDER * n >= OVER * m) & (UNDER * m >= OVER * n) & (differ <= n + m - 2 * required(n, m))
 
 
+def ends(pairs: DataFrame) -> DataFrame:
+    """(doc_id) of either side, each side's repeats gone before they meet."""
+    side = lambda c: pairs.groupBy(F.col(c).alias("doc_id")).agg(F.lit(1).alias("_"))
+    return side("a").union(side("b")).select("doc_id").distinct()
+
+
 class Verifier:
     """Pairs are measured on whole sets, once each; what was measured stays known."""
 
@@ -309,7 +315,7 @@ class Verifier:
         """Pairs (a < b, and other columns) that pass the suffix filter."""
         s = self.scratch
         pairs = s.cut(pairs, f"near-{tag}")
-        ids = s.cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"near-ids-{tag}")
+        ids = s.cut(ends(pairs), f"near-ids-{tag}")
         bits = self.own.join(ids, "doc_id", "left_semi")
         if self.repeats:
             bits = bits.dropDuplicates(["doc_id", "d1", "d2"])
@@ -325,7 +331,7 @@ class Verifier:
         """Verify distinct pairs (a, b): (a, b) of those that are linked."""
         s = self.scratch
         pairs = s.cut(pairs.select("a", "b"), f"pairs-{tag}")
-        ids = s.cut(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), f"ids-{tag}")
+        ids = s.cut(ends(pairs), f"ids-{tag}")
         sets = self.docs.join(ids, "doc_id", "left_semi").mapInArrow(_sets(self.k), "doc long, d1 long, d2 long, set array<long>")
         sets = s.cut(sets.dropDuplicates(["doc", "d1", "d2"]) if self.repeats else sets, f"sets-{tag}")
         x, y = (sets.select(F.col("doc").alias(c), F.col("set").alias(f"set_{c}")) for c in "ab")
@@ -369,6 +375,7 @@ def meetings(entries: DataFrame, of: DataFrame | None, scratch: Scratch) -> tupl
     """
     flat = placed(entries, of)
     open_ = flat.groupBy("token").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("token")
+    open_ = scratch.cut(open_, "open")  # apart from the join, so that a hot shingle's postings can be split there
     flat = scratch.cut(flat.join(open_, "token", "left_semi").select("doc", "n", "token", "pos", "comp", "alone"), "entries")
     one = F.min(F.struct(F.xxhash64("doc").alias("o"), "doc", "n", "pos", "alone"))
     groups = flat.groupBy("token", "comp").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max(F.col("n") - F.col("pos")).alias("room"), F.count("*").alias("docs"), one.alias("one"))
