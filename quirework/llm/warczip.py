@@ -38,6 +38,8 @@ from quirework.sources.scratch import Scratch
 
 ARCHIVE_BYTES = 32 << 20
 AHEAD = 1 << 20
+#: Tasks that read archives; with more archives a task reads several, one after another.
+MOST_TASKS = 20_000
 LEAST = 0
 DATA, INDEX = "archive/data.warc", "indexes/index.cdxj"
 READ = "page_id long, url string, payload binary, payload_bytes long, payload_digest string, record_type string, refers_to long"
@@ -240,4 +242,5 @@ def written(pages: DataFrame, *, page_id: str = "page_id", url: str = "url", htm
 def read(archives: DataFrame, with_payload: bool = True) -> DataFrame:
     """Records of the archives at these paths (column ``path``), each read by range in one task."""
     paths = archives.select("path")
-    return paths.repartition(F.col("path")).mapInArrow(_reading(with_payload), READ)
+    tasks = min(max(paths.count(), 1), MOST_TASKS)  # a stated number, since Spark merges small partitions else
+    return paths.repartition(tasks).mapInArrow(_reading(with_payload), READ)
