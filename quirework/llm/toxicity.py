@@ -244,11 +244,12 @@ def _placing(keys: np.ndarray, rank: np.ndarray):
 def fit(labelled: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic", training_rows: int = TRAINING_ROWS, training_bytes: int = TRAINING_BYTES) -> Field:
     """Train on rows (doc_id, text, label 0/1)."""
     rows = labelled.select(F.col(doc_id).alias("i"), F.col(text).alias("text"), F.col(label).cast("int").alias("label")).where("label in (0, 1) and text is not null")
-    many, size = rows.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
-    share = min(1.0, training_rows / max(many, 1), training_bytes / max(size or 0, 1))
+    many = rows.agg(F.count("*")).first()[0]  # reads no texts
+    share, s = min(1.0, training_rows / max(many, 1)), Scratch(rows.sparkSession, "toxic")
     place = F.conv(F.substring(F.md5(F.concat(F.lit("toxic:"), F.coalesce(F.col("i").cast("string"), F.lit(""))).cast("binary")), 1, 8), 16, 10).cast("double") / float(1 << 32)
-    rows = rows.where(place < share)
-    rows = Scratch(rows.sparkSession, "toxic").cut(rows.select("label", "text").distinct(), "sample")
+    rows = s.cut(rows.withColumn("place", place).where(F.col("place") < share).select("label", "text", "place"), "drawn")
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    rows = s.cut(rows.where(F.col("place") < share * min(1.0, training_bytes / max(size, 1))).select("label", "text").distinct(), "sample")
     held = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(held) < 2:
         return Field()
