@@ -159,7 +159,7 @@ def _windows(least: int, leftover: bool):
             shift = powers(inverse, n)
             ends = np.searchsorted(chars, chars[at] + least)  # first end with enough characters from each line on
             starts = np.searchsorted(chars, chars[at + 1] - least, "right") - 1  # last start with enough up to each line
-            begin = np.concatenate([at[ends <= last], at[starts >= first]])
+            begin = np.concatenate([at[ends <= last], starts[starts >= first]])
             end = np.concatenate([ends[ends <= last], at[starts >= first] + 1])
             if leftover:
                 cuts, kept = batch.column(3), np.ones(n, np.int64)
@@ -256,9 +256,9 @@ def _unlike(one: DataFrame, left: DataFrame, holders: DataFrame) -> DataFrame:
     holds, so holders with the same such lines and gaps are aligned in the same way.
     """
     open_ = left.join(holders.groupBy("line").agg(F.min("first").alias("first")), "line").where("doc > first").select("doc").distinct()
-    known = one.join(open_, "doc").select(F.explode("lines").alias("x")).distinct()
+    known = one.join(open_, "doc").select("doc", F.explode("lines").alias("x")).groupBy("x").agg(F.max("doc").alias("last"))
     held = one.withColumnRenamed("doc", "first").join(holders.select("first").distinct(), "first")
-    at = held.select("first", F.size("lines").alias("n"), F.posexplode("lines").alias("at", "x")).join(known, "x")
+    at = held.select("first", F.size("lines").alias("n"), F.posexplode("lines").alias("at", "x")).join(known, "x").where("first < last")
     at = at.groupBy("first", "n").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("a"))
     gaps = F.transform("a", lambda p, i: F.when(i == 0, p["at"] > 0).otherwise(p["at"] - F.get("a", i - 1)["at"] > 1))
     at = at.select("first", F.transform("a", lambda p: p["x"]).alias("xs"), gaps.alias("gaps"), (F.element_at("a", -1)["at"] < F.col("n") - 1).alias("end"))

@@ -173,3 +173,49 @@ def test_line_dedup_with_all_holders_goes_beyond_the_earliest_one(spark):
     got = {r["doc_id"]: r["kept_text"] for r in linededup.dedup(docs).collect()}
     assert got == plain_aligned_with_all(rows)
     assert got[3] == "own words"
+
+
+def run_keys(sizes, lines, cut=None):
+    import pyarrow as pa
+
+    columns = [pa.array([7]), pa.array([sizes], pa.list_(pa.int64())), pa.array([lines], pa.list_(pa.int64()))]
+    columns += [] if cut is None else [pa.array([cut], pa.list_(pa.int32()))]
+    batch = pa.RecordBatch.from_arrays(columns, [str(i) for i in range(len(columns))])
+    return {x for out in linededup._windows(20, cut is not None)([batch]) for x in out.column(1).to_pylist()}
+
+
+@pytest.mark.parametrize("cut", [None, [], [0], [1, 2], [3, 4]])
+def test_runs_of_lines_hold_enough_characters(cut):
+    rng, odd = random.Random(5), 0x9E3779B97F4A7C15
+    for sizes in ([30, 18], [30, 0, 0], [9, 9, 9, 30, 4, 0, 12, 25], [3, 4], [20], rng.choices(range(25), k=30)):
+        lines = [rng.randrange(-(1 << 63), 1 << 63) for _ in sizes]
+        places, n = set(), len(sizes)
+        for i in range(n):
+            places |= {(i, k) for k in range(i, n + 1) if sum(sizes[i:k]) >= 20 > sum(sizes[i : k - 1])}
+            places |= {(h, i + 1) for h in range(i + 1) if sum(sizes[h : i + 1]) >= 20 > sum(sizes[h + 1 : i + 1])}
+        gone = set(x for x in cut or () if x < n)
+        places = {(i, k) for i, k in places if set(range(i, k)) - gone}
+        sums = {sum(lines[i + j] * odd**j for j in range(k - i)) % (1 << 64) for i, k in places}
+        assert run_keys(sizes, lines, cut and sorted(gone)) == {x - (x >> 63 << 64) for x in sums}
+
+
+def last_round(spark, rows, monkeypatch):
+    """Pairs of the last round, and what is kept."""
+    pairs, cut = [], linededup.Scratch.cut
+    monkeypatch.setattr(linededup.Scratch, "cut", lambda s, df, name, **o: (x := cut(s, df, name, **o), name.startswith("further") and pairs.append(x.count()))[0])
+    got = {r["doc_id"]: r["kept_text"] for r in linededup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    return pairs[-1], got
+
+
+def test_line_dedup_pairs_by_no_short_line_alone(spark, monkeypatch):
+    rows = [(i, f"the first line of document {i} and no other\nshort") for i in range(60)]
+    pairs, got = last_round(spark, rows, monkeypatch)
+    assert pairs == 0 and got == dict(rows)
+
+
+def test_line_dedup_holders_look_alike_whatever_no_later_document_holds(spark, monkeypatch):
+    line = "a line that all of these documents hold twice, or once"
+    rows = [(i, f"its own line {i} comes first\n{line}\nand another one {i}" + f"\n{line}\nand a last one {i}" * (i >= 30)) for i in range(60)]
+    rows += [(i + 100, rows[i][1]) for i in (40, 50)]
+    pairs, got = last_round(spark, rows, monkeypatch)
+    assert pairs <= 3 * 32 and got == plain_aligned_with_all(rows)
