@@ -61,8 +61,10 @@ class Block:
         self.k = np.minimum(self.length, SHINGLE)
         self.shingles = {}
         for k in sorted(set(self.k.tolist())):
-            of = [gram(self.hashes, k)[s : s + n - k + 1] for s, n in zip(self.start[self.k == k].tolist(), self.length[self.k == k].tolist())]
-            self.shingles[k] = np.unique(np.concatenate(of))
+            grams, of = gram(self.hashes, k), self.k == k
+            n = len(grams) + 1  # of windows, more begin than have ended where a shingle is in one
+            edges = np.bincount(self.start[of], minlength=n) - np.bincount((self.start + self.length - k + 1)[of], minlength=n)
+            self.shingles[k] = np.unique(grams[np.cumsum(edges)[:-1] > 0])
         self.tables: dict[int, tuple] = {}
 
     def order(self, counts: dict[int, np.ndarray]) -> None:

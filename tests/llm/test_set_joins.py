@@ -219,3 +219,20 @@ def test_line_dedup_holders_look_alike_whatever_no_later_document_holds(spark, m
     rows += [(i + 100, rows[i][1]) for i in (40, 50)]
     pairs, got = last_round(spark, rows, monkeypatch)
     assert pairs <= 3 * 32 and got == plain_aligned_with_all(rows)
+
+
+def test_blocks_of_a_benchmark_take_memory_in_proportion():
+    import tracemalloc
+
+    import numpy as np
+
+    rng = random.Random(11)
+    rows = [(i, " ".join(f"w{rng.randrange(3000)}" for _ in range(rng.choice((1, 2, 7, 10, 90))))) for i in range(150)]
+    tracemalloc.start()
+    block = decontaminate.Block(rows, 10)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 10_000_000
+    for k in (1, 2, 3):
+        of = [decontaminate.gram(block.hashes[s : s + n], k) for s, n in zip(block.start, block.length) if min(n, 3) == k]
+        assert np.array_equal(block.shingles[k], np.unique(np.concatenate(of)))
