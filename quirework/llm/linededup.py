@@ -14,7 +14,7 @@ each run, for ROUNDS rounds, then with all others.
 
 Skew: pairs go from each document to single holders of a line or run, so one that a third of all rows have makes one
 pair for each in a round, never all pairs of its group (the last round does pair what no round before it could delete
-with all holders that are left; of holders that look alike to what is left, one); minima and counts are combined before
+with all holders that are left; of holders that look alike to what is left, one: see _others); minima and counts are combined before
 the shuffle, and joins against one row per line or document let Spark split the hot side.
 
 Edge cases: a null text has no lines and stays null; blank and short lines pair documents only as part of a run; equal
@@ -28,7 +28,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quirework.llm._rank import ranked
@@ -39,6 +39,8 @@ LEAST = 20
 ROUNDS = 4
 #: Holders that a document is paired with in the first round, those of its rarest lines.
 RAREST = 4
+#: Pairs that rare lines may make in the last round, for each line of the documents that it pairs.
+PARTNERS = 8
 #: The lower half of a line's second number is its length, the upper a hash.
 _LENGTH = 0xFFFFFFFF
 
@@ -210,10 +212,10 @@ def dedup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", least:
             some = holders if bound is None else holders.join(bound, "line").where("first > bound")
             bound = s.cut(some.groupBy("line").agg(F.min("first").alias("bound")), f"bound{k}")
             some = bound.withColumnRenamed("bound", "first")
+            more = left.join(some, "line").where("doc > first").select("doc", "first")
         else:  # all others
-            some = s.cut(_unlike(one, left, holders), "unlike")
-        more = left.join(some, "line").where("doc > first").select("doc", "first").distinct().join(done, ["doc", "first"], "left_anti")
-        more = s.cut(more, f"further{k}")
+            more = _others(s, one, left, holders.join(bound, "line").where("first > bound").select("first", "line"))
+        more = s.cut(more.distinct().join(done, ["doc", "first"], "left_anti"), f"further{k}")
         done = done.unionByName(more)
         cuts = s.cut(union(cuts.unionByName(aligned(more))), f"cuts{k}")
     cuts = s.cut(cuts.join(ids, "doc").select(F.col("id").alias("_id"), F.col("v").alias("_v"), F.col("cut").alias("_cut")), "cuts")
@@ -249,18 +251,63 @@ def _shared_left(s: Scratch, one: DataFrame, cuts: DataFrame, holders: DataFrame
     return out
 
 
-def _unlike(one: DataFrame, left: DataFrame, holders: DataFrame) -> DataFrame:
-    """Of holders that look alike to all documents with runs left, the earliest.
+def _others(s: Scratch, one: DataFrame, left: DataFrame, holders: DataFrame) -> DataFrame:
+    """(doc, first): pairs that stand for all of documents with runs left and earlier holders of these runs.
 
-    Only lines of these documents can be aligned; what stands between them is a gap that matches nothing, whatever it
-    holds, so holders with the same such lines and gaps are aligned in the same way.
+    Of a holder, only lines of the later document can be aligned; what stands between them is a gap that matches
+    nothing, whatever it holds, so holders with the same such lines and gaps are aligned in the same way.  A document
+    is paired with all holders with which it shares a rare line, and of holders that look alike when only common lines
+    of its own count, with the earliest; if that is one of these, then with the earliest that is not, of each look that
+    they have when all common lines count.  Lines are rare up to that number of holders at which rare lines
+    make PARTNERS pairs for each line of the later documents.
     """
-    open_ = left.join(holders.groupBy("line").agg(F.min("first").alias("first")), "line").where("doc > first").select("doc").distinct()
-    known = one.join(open_, "doc").select("doc", F.explode("lines").alias("x")).groupBy("x").agg(F.max("doc").alias("last"))
+    left = s.cut(left.join(holders.groupBy("line").agg(F.min("first").alias("low")), "line").where("doc > low").select("doc", "line"), "runs")
+    own = s.cut(one.join(left.select("doc").distinct(), "doc").select("doc", F.explode(F.array_distinct("lines")).alias("x")), "own")
+    known = own.groupBy("x").agg(F.max("doc").alias("last"), F.count("*").alias("docs"))
     held = one.withColumnRenamed("doc", "first").join(holders.select("first").distinct(), "first")
-    at = held.select("first", F.size("lines").alias("n"), F.posexplode("lines").alias("at", "x")).join(known, "x").where("first < last")
-    at = at.groupBy("first", "n").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("a"))
-    gaps = F.transform("a", lambda p, i: F.when(i == 0, p["at"] > 0).otherwise(p["at"] - F.get("a", i - 1)["at"] > 1))
-    at = at.select("first", F.transform("a", lambda p: p["x"]).alias("xs"), gaps.alias("gaps"), (F.element_at("a", -1)["at"] < F.col("n") - 1).alias("end"))
-    of = at.groupBy(F.sha2(F.to_json(F.struct("xs", "gaps", "end")).cast("binary"), 256).alias("look")).agg(F.min("first").alias("first"))
-    return holders.join(of.select("first"), "first").select("first", "line")
+    held = held.select("first", F.size("lines").alias("n"), F.posexplode("lines").alias("at", "x"))
+    at = s.cut(held.join(known, "x").where("first < last").select("first", "n", "at", "x", "docs"), "held")
+
+    kinds = s.cut(at.select("first", "x", "docs").distinct().groupBy("x", "docs").agg(F.count("*").alias("firsts")), "kinds")
+    level = F.length(F.bin("firsts"))
+    made, rare, room = kinds.groupBy(level.alias("level")).agg(F.sum(F.col("docs") * F.col("firsts")).alias("n")), 0, PARTNERS * own.count()
+    for r in sorted(made.collect()):  # one row for each power of two
+        room -= r["n"]
+        if room < 0:
+            break
+        rare = r["level"]
+    partners = own.join(kinds.where(level <= rare).select("x"), "x").join(at.select("first", "x"), "x").where("doc > first").select("doc", "first").distinct()
+    partners = s.cut(partners, "partners")
+
+    common = kinds.where(level > rare).select("x")
+    at = at.join(common, "x").groupBy("first", "n").agg(F.array_sort(F.collect_list(F.struct("at", "x"))).alias("a"))
+    gap = F.lit(None).cast("long")
+    gone = lambda p, i: F.when(i == 0, p["at"] > 0).otherwise(p["at"] - F.get("a", i - 1)["at"] > 1)
+    seq = F.flatten(F.transform("a", lambda p, i: F.when(gone(p, i), F.array(gap, p["x"])).otherwise(F.array(p["x"]))))
+    seq = F.when(F.element_at("a", -1)["at"] < F.col("n") - 1, F.concat(seq, F.array(gap))).otherwise(seq)
+    name = lambda x: F.sha2(F.array_join(F.col(x).cast("array<string>"), ",", "-").cast("binary"), 256)
+    looks = s.cut(at.select("first", seq.alias("seq")).withColumn("look", name("seq")), "looks")
+    kins = own.join(common, "x").groupBy("doc").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    kins = s.cut(kins.withColumn("kin", name("xs")), "kins")  # later documents with the same common lines
+
+    near = left.join(kins, "doc").select("kin", "line").distinct()
+    near = near.join(holders.join(looks, "first").select("line", "look").distinct(), "line").select("kin", "look").distinct()
+    near = near.join(kins.groupBy("kin").agg(F.first("xs").alias("xs")), "kin")
+    near = near.join(looks.groupBy("look").agg(F.first("seq").alias("seq"), F.min("first").alias("low")), "look")
+    near = near.withColumn("seq", F.transform("seq", lambda x: F.when(F.array_contains("xs", x), x)))
+    near = near.withColumn("seq", F.filter("seq", lambda x, i: x.isNotNull() | (i == 0) | F.get("seq", i - 1).isNotNull()))
+    near = s.cut(near.select("kin", "look", "low", name("seq").alias("view")), "near")  # as these documents see the look
+    seen = kins.select("doc", "kin").join(near.groupBy("kin", "view").agg(F.min("low").alias("first")), "kin").where("doc > first")
+    seen = s.cut(seen, "seen")
+    alike = seen.join(partners, ["doc", "first"], "left_semi").join(near, ["kin", "view"]).where("doc > low").select("doc", "look")
+    alike = s.cut(alike, "alike")
+
+    taken = s.cut(partners.join(looks, "first").join(alike, ["doc", "look"]).select("doc", "look", "first"), "taken")
+    most = 1 + (taken.groupBy("doc", "look").count().agg(F.max("count")).first()[0] or 0)
+    places = looks.withColumn("place", F.row_number().over(Window.partitionBy("look").orderBy("first"))).where(F.col("place") <= most)
+    places = s.cut(places, "places")
+    full = taken.join(places, ["look", "first"]).groupBy("doc", "look").agg(F.collect_set("place").alias("full"))
+    free = F.array_min(F.array_except(F.sequence(F.lit(1), F.size("full") + 1), "full"))
+    next_ = alike.join(full, ["doc", "look"], "left").select("doc", "look", F.coalesce(free, F.lit(1)).alias("place"))
+    next_ = next_.join(places, ["look", "place"]).where("doc > first").select("doc", "first")
+    return partners.unionByName(seen.select("doc", "first")).unionByName(next_)

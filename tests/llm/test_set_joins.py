@@ -221,6 +221,29 @@ def test_line_dedup_holders_look_alike_whatever_no_later_document_holds(spark, m
     assert pairs <= 3 * 32 and got == plain_aligned_with_all(rows)
 
 
+def test_line_dedup_holders_look_alike_by_lines_of_each_later_document(spark, monkeypatch):
+    lines = [f"the common line with number {i} of several" for i in range(12)]
+    rows = [(f"{x}\nthe body {k} between {i} and {j}\n{y}") for k in range(4) for i, x in enumerate(lines) for j, y in enumerate(lines) if i != j]
+    rows += [f"{x}\nits own body {i} that is long enough\n{x}\nthe last line {i} of it" for i, x in enumerate(lines)]
+    rows = list(enumerate(rows))
+    pairs, got = last_round(spark, rows, monkeypatch)
+    assert pairs <= 2 * 12 and got == plain_aligned_with_all(rows)
+
+
+@pytest.mark.parametrize("partners", [0, 1, 2])
+def test_line_dedup_pairs_stand_for_all_whatever_lines_are_rare(spark, monkeypatch, partners):
+    monkeypatch.setattr(linededup, "ROUNDS", 1)
+    monkeypatch.setattr(linededup, "PARTNERS", partners)
+    rng, rows = random.Random(partners), []
+    pool = [f"a common line with number {i} in it" for i in range(5)] + ["x", "brief"]
+    for i in range(150):
+        text = rng.choices(pool, k=rng.randint(2, 7))
+        text[rng.randrange(len(text))] = f"a rare line with number {rng.randrange(40)} in it"
+        rows.append((i, "\n".join(text + [f"a line of document {i} and no other"] * (i % 2))))
+    pairs, got = last_round(spark, rows, monkeypatch)
+    assert pairs and got == plain_aligned_with_all(rows)
+
+
 def test_blocks_of_a_benchmark_take_memory_in_proportion():
     import tracemalloc
 
