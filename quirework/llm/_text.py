@@ -3,17 +3,24 @@
 A string column already is one run of UTF-8 bytes with offsets, so words are found and hashed for many rows at
 once with a few array passes.  Rows are taken in chunks of about CHUNK bytes, which bounds the temporaries; a
 row that is longer forms a chunk of its own.
+
+Python workers outlive their tasks, beside an executor's JVM that needs the rest of its memory: kernels are tidy(), so
+that what a task has freed goes back to the system at its end, and batches that carry texts leave in pieces(), because
+the JVM holds a batch from Python outside its heap as one block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from functools import lru_cache
+import ctypes
+from collections.abc import Callable, Iterator
+from functools import lru_cache, wraps
 from typing import NamedTuple
 
 import numpy as np
 
 CHUNK = 1 << 18
+#: Bytes of text in a batch that leaves a worker.
+PIECE = 1 << 20
 _P = np.uint64(0x9E3779B97F4A7C15)
 _MULTIPLIERS = np.random.default_rng(20240229).integers(1 << 40, 1 << 63, 64, np.uint64) | np.uint64(1)
 _BYTE_VALUES = np.random.default_rng(7).integers(1, 1 << 63, 256, np.uint64)
@@ -71,6 +78,35 @@ def chunks(offsets: np.ndarray, most: int = CHUNK) -> Iterator[tuple[int, int]]:
         first = min(last, rows)
 
 
+def pieces(batch, offsets: np.ndarray) -> Iterator:
+    """The batch's rows in batches of about PIECE bytes of the text with these offsets."""
+    for first, last in chunks(offsets, PIECE):
+        yield batch.slice(first, last - first)
+
+
+def release() -> None:
+    """Give memory that is free in this process back to the system, where the allocators can."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim:
+        trim(0)
+
+
+def tidy(kernel: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """The kernel of a mapInArrow, with a release() at the end of each task."""
+
+    @wraps(kernel)
+    def run(batches: Iterator) -> Iterator:
+        try:
+            yield from kernel(batches)
+        finally:
+            release()
+
+    return run
+
+
 def words_of(data: np.ndarray, offsets: np.ndarray, first: int, last: int, inside: np.ndarray) -> Words:
     """Words of the rows first..last-1; words never cross rows."""
     at = offsets[first : last + 1] - offsets[first]

@@ -129,7 +129,7 @@ def _counting(blocks: list):
                     some = np.flatnonzero(n)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), block, np.int32)), pa.array(np.full(len(some), k, np.int32)), pa.array(some), pa.array(n[some])], ["block", "k", "i", "n"])
 
-    return count
+    return tx.tidy(count)
 
 
 def _probing(blocks: list, text_at: int, kept: list[int], schema):
@@ -150,9 +150,9 @@ def _probing(blocks: list, text_at: int, kept: list[int], schema):
                         spans[first + row].append((begin, stop))
                         items[first + row].add(item)
             own = [pa.array(n_words), pa.array([[{"begin": x, "stop": y} for x, y in merged(s)] for s in spans], target.field("spans").type), pa.array([sorted(x) for x in items], target.field("items").type)]
-            yield pa.RecordBatch.from_arrays([*[batch.column(i).cast(target.field(j).type) for j, i in enumerate(kept)], *own], schema=target)
+            yield from tx.pieces(pa.RecordBatch.from_arrays([*[batch.column(i).cast(target.field(j).type) for j, i in enumerate(kept)], *own], schema=target), offsets)
 
-    return probe
+    return tx.tidy(probe)
 
 
 def hits(w: tx.Words, b: Block, held: dict[int, np.ndarray]) -> Iterator[tuple[int, int, int, str]]:
@@ -203,7 +203,7 @@ def _cutting(window: int, most: int):
                         break
                     first = last - window + 1
 
-    return cut
+    return tx.tidy(cut)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:

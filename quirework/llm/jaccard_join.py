@@ -129,7 +129,7 @@ def _reading(k: int):
         none = pa.nulls(len(some), pa.int64())
         yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(some, pa.int32()), pa.array([parts[i].tobytes() for i in some], pa.binary()), pa.nulls(len(some), pa.list_(pa.int64()))], names)
 
-    return read
+    return tx.tidy(read)
 
 
 def _summing(batches) -> Iterator:
@@ -201,7 +201,7 @@ def _indexing(ranks, buckets: int, k: int):
         if held:
             yield packed(found, turn)
 
-    return index
+    return tx.tidy(index)
 
 
 def pack(token: np.ndarray, node: np.ndarray, pos: np.ndarray) -> bytes:
@@ -261,7 +261,7 @@ def _sets(k: int):
                 whole = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(h.view(np.int64)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), pa.array(d[0].view(np.int64)), pa.array(d[1].view(np.int64)), whole], ["doc", "d1", "d2", "set"])
 
-    return sets
+    return tx.tidy(sets)
 
 
 def required(n: Column, m: Column) -> Column:
@@ -419,7 +419,7 @@ def neardup(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", k: i
     docs = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     seen = s.cut(docs.mapInArrow(_reading(k), "doc_id long, n long, d1 long, d2 long, part int, counts binary, bits array<long>"), "seen")
     own = seen.where("part is null").select("doc_id", "n", "d1", "d2", "bits")
-    parts = seen.where("part is not null").select("part", "counts").repartition(1 << (SKETCH_BITS - PART_BITS), "part").mapInArrow(_summing, "part int, ranks binary")
+    parts = seen.where("part is not null").select("part", "counts").repartition(1 << (SKETCH_BITS - PART_BITS), "part").mapInArrow(tx.tidy(_summing), "part int, ranks binary")
     ranks = np.zeros(1 << SKETCH_BITS, np.uint16)
     for part, blob in parts.collect():  # 2**SKETCH_BITS numbers at any input
         ranks[part << PART_BITS : (part + 1) << PART_BITS] = np.frombuffer(blob, np.uint16)
